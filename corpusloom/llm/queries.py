@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage
-from . import mixing, packing, repeated_lines, subjects, tokens
+from . import language, mixing, near_duplicates, packing, repeated_lines, subjects, tokens
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,34 @@ def p1_clean(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines.without_repeated_lines(_t(spark, d, "extracted_docs"), _t(spark, d, "enriched_meta"), min_clusters=6, min_days=2)
 
 
+def _languages(spark: SparkSession, d: str) -> DataFrame:
+    records = _t(spark, d, "wet_records")
+    return language.record_languages(records, language.fit_with_records(_t(spark, d, "lid_reference"), records))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    case = F.when(F.col("mixed"), F.col("line_no") >= 0).otherwise(F.col("label_state") != "ok")
+    return _languages(spark, d).where(case).select("doc_id", "line_no", "lang")
+
+
+def p2_records(spark: SparkSession, d: str) -> DataFrame:
+    """Every record and every line of a mixed one, with confidence beside the given score."""
+    return _languages(spark, d)
+
+
+def _near(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    known = _t(spark, d, "fuzzy_docs").select(F.col("doc_id").alias("id"))
+    return near_duplicates.near_duplicates(_t(spark, d, "wet_records"), known, k=3, threshold=0.6)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates.id_pairs(*_near(spark, d))
+
+
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates.groups(*_near(spark, d))
+
+
 def p6_token_totals(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_totals(stage(tokens.document_tokens(_t(spark, d, "extracted_docs"), _t(spark, d, "enriched_meta")), "p6"))
 
