@@ -252,7 +252,7 @@ _RESULT = "lang string, confidence double, mixed boolean, lines array<struct<lin
 _LINES = pa.list_(pa.struct([("line_no", pa.int64()), ("lang", pa.string()), ("confidence", pa.float64())]))
 
 
-def identify(docs: DataFrame, model: LanguageModel, keep: list[str], text_col: str = "text", min_share: float = 0.2, sure: float = 10.0) -> DataFrame:
+def identify(docs: DataFrame, model: LanguageModel, keep: list[str], text_col: str = "text", min_share: float = 0.2, sure: float = 1.5) -> DataFrame:
     """``keep`` columns and ``lang, confidence, mixed, lines``, one row per row of ``docs``.
 
     ``confidence`` is the calibrated probability.  A text is mixed if at least two languages each hold ``min_share`` of its words, counted
