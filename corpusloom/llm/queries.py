@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage
-from . import language, mixing, near_duplicates, packing, repeated_lines, subjects, tokens
+from . import articles, language, mixing, near_duplicates, packing, pairs, repeated_lines, subjects, tokens
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,37 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicates.groups(*_near(spark, d))
 
 
+def _captures(spark: SparkSession, d: str) -> DataFrame:
+    return articles.captures(_t(spark, d, "warc_records"), _t(spark, d, "page_fetches"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    pages = _captures(spark, d)
+    return articles.article_pieces(pages, articles.fit_to(pages))
+
+
+def p4_articles(spark: SparkSession, d: str) -> DataFrame:
+    """The text of each capture's article."""
+    pages = _captures(spark, d)
+    return articles.article_texts(pages, articles.fit_to(pages))
+
+
+def _pair_defects(spark: SparkSession, d: str) -> DataFrame:
+    examples, reference = _t(spark, d, "instruction_examples"), _t(spark, d, "lid_reference")
+    texts = [(r.lang, r.text) for r in reference.collect()]
+    return pairs.pair_defects(examples, pairs.fit(examples, language.fit(reference, [(r.lang, r.text) for r in _t(spark, d, "subject_reference").collect()]), texts))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _pair_defects(spark, d)
+
+
+def p5_defects(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs per source and defect."""
+    examples = _t(spark, d, "instruction_examples").groupBy("id").agg(F.max("source").alias("source"))
+    return examples.join(_pair_defects(spark, d), "id").groupBy("source", "defect").agg(F.count("*").alias("pairs"))
+
+
 def p6_token_totals(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_totals(stage(tokens.document_tokens(_t(spark, d, "extracted_docs"), _t(spark, d, "enriched_meta")), "p6"))
 
