@@ -6,7 +6,8 @@ candidate is verified against its whole shingle set.  At the similarities wanted
 make a selective segment, so a position of the signature is a whole 32-bit minimum of a hash over the shingles instead of one bit of it.
 
 Texts with the same shingle set are one class.  The index, the join and the verification work on classes, so a group of exact copies
-costs as much as one text.
+costs as much as one text.  Shingle sets are made in a second pass and only for classes that have a candidate, which a Bloom filter of
+bounded size tells; beyond that size it lets more classes through, never fewer.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .words import pieces
+from .words import SLOT_DDL, add_up, pieces, slots
 
 _WORD = re.compile(r"[^\W_]+")
 _U = np.uint64
@@ -107,45 +108,108 @@ def signatures(texts: list, k: int, segments: int, width: int, words: _Words) ->
     return text, cls, variants, small.view(np.int32), np.r_[first[1:], len(small)]
 
 
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    at = F.col("fetched_at") if "fetched_at" in docs.columns else F.lit(None).cast("timestamp")
+    return docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), at.alias("at"), F.col(text_col).alias("text"))
+
+
+def _lists(values: np.ndarray, ends: np.ndarray, keep: np.ndarray) -> pa.ListArray:
+    """Rows of ``values`` up to ``ends`` where ``keep``, else null."""
+    starts = np.r_[0, ends[:-1]] if len(ends) else ends
+    length = (ends - starts) * keep
+    pick = np.repeat(starts - np.r_[0, np.cumsum(length)[:-1]], length) + np.arange(length.sum()) if len(ends) else np.zeros(0, np.int64)
+    offsets = pa.array(np.r_[0, np.cumsum(length)].astype(np.int32), mask=np.r_[~keep, False]) if len(ends) else pa.array([0], pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(values[pick]))
+
+
+def _new(cls: np.ndarray, seen: set) -> np.ndarray:
+    """Which classes are not in ``seen`` yet; adds them."""
+    out = np.zeros(len(cls), bool)
+    for i, c in enumerate(cls.tolist()):
+        if c not in seen:
+            seen.add(c)
+            out[i] = True
+    return out
+
+
 def index(docs: DataFrame, id_col: str, text_col: str, k: int, segments: int, width: int) -> DataFrame:
-    """``id, at, class, variants, shingles`` of every row whose text has at least ``k`` words."""
-    kind, at = dict(docs.dtypes)[id_col], dict(docs.dtypes).get("fetched_at")
+    """``id, at, class, variants`` of every row whose text has at least ``k`` words; variants once per class and partition, else null."""
+    kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
+        words, seen = _Words(), set()
         for b in batches:
             texts, begin = b.column("text").to_pylist(), 0
             for part in pieces(texts):
                 if len(words) > WORD_CACHE:
                     words = _Words()
-                row, cls, variants, sets, ends = signatures(part, k, segments, width, words)
+                row, cls, variants, _, _ = signatures(part, k, segments, width, words)
                 take = pa.array(row + begin)
                 begin += len(part)
                 n = variants.shape[1]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column("id").take(take),
-                        b.column("at").take(take),
-                        pa.array(cls),
-                        pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1, dtype=np.int32) * n), pa.array(variants.reshape(-1))),
-                        pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(sets)),
-                    ],
-                    names=["id", "at", "class", "variants", "shingles"],
-                )
-
-    cols = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-    cols = cols.select(F.col(id_col).alias("id"), (F.col("fetched_at") if at else F.lit(None).cast("timestamp")).alias("at"), F.col(text_col).alias("text"))
-    return cols.mapInArrow(run, f"id {kind}, at timestamp, class bigint, variants array<bigint>, shingles array<int>")
-
-
-def class_pairs(indexed: DataFrame, threshold: float) -> DataFrame:
-    """``a, b, similarity`` of every verified pair of classes, a < b.  ``indexed`` is staged: it is read three times."""
-    keys = indexed.select(F.explode("variants").alias("key"), "class").groupBy("key", "class").agg(F.lit(1).alias("_")).drop("_")
+                lists = _lists(variants.reshape(-1), np.arange(1, len(row) + 1) * n, _new(cls, seen))
+                yield pa.RecordBatch.from_arrays([b.column("id").take(take), b.column("at").take(take), pa.array(cls), lists], names=["id", "at", "class", "variants"])
+
+    return _rows(docs, id_col, text_col).mapInArrow(run, f"id {kind}, at timestamp, class bigint, variants array<bigint>")
+
+
+def candidate_pairs(indexed: DataFrame) -> DataFrame:
+    """``a, b`` (a < b) of the classes that share a variant."""
+    keys = indexed.where(F.col("variants").isNotNull()).select(F.explode("variants").alias("key"), "class")
+    # one class may come from several partitions; this grouping and the join below both work on the one shuffle by key
+    keys = keys.repartition("key").groupBy("key", "class").agg(F.lit(1).alias("_"))
     left, right = keys.select("key", F.col("class").alias("a")), keys.select("key", F.col("class").alias("b"))
-    candidates = left.join(right, "key").where(F.col("a") < F.col("b")).select("a", "b").distinct()
-    sets = indexed.groupBy("class").agg(F.first("shingles").alias("s"))
+    return left.join(right, "key").where(F.col("a") < F.col("b")).select("a", "b").distinct()
+
+
+def _bloom(candidates: DataFrame, most_bits: int) -> np.ndarray:
+    """A bit set in which both places of every candidate class are set; 32 bits a pair, at most ``most_bits``."""
+    pairs = candidates.count()
+    bits = min(most_bits, max(1 << 20, 1 << (32 * pairs).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.zeros(bits, bool)
+        for b in batches:
+            for c in ("a", "b"):
+                h = b.column(c).to_numpy(zero_copy_only=False).view(np.uint64)
+                flags[(h & _U(bits - 1)).astype(np.int64)] = True
+                flags[((h >> _U(32)) * _U(0x9E3779B1) & _U(bits - 1)).astype(np.int64)] = True
+        yield slots(np.packbits(flags).reshape(-1, 1024))
+
+    return add_up(candidates.mapInArrow(run, SLOT_DDL), (bits // 8192, 1024), np.uint8, np.bitwise_or).reshape(-1)
+
+
+def shingle_sets(docs: DataFrame, id_col: str, text_col: str, k: int, bloom: np.ndarray) -> DataFrame:
+    """``class, s``: the distinct 32-bit shingle hashes of every class that the Bloom filter lets through."""
+    shared = docs.sparkSession.sparkContext.broadcast(bloom)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, seen = _Words(), set()
+        bits = shared.value
+        mask = _U(len(bits) * 8 - 1)
+
+        def hit(place: np.ndarray) -> np.ndarray:
+            return ((bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1).astype(bool)
+
+        for b in batches:
+            for part in pieces(b.column("text").to_pylist()):
+                if len(words) > WORD_CACHE:
+                    words = _Words()
+                _, cls, _, sets, ends = signatures(part, k, 0, 1, words)
+                h = cls.view(np.uint64)
+                keep = hit((h & mask).astype(np.int64)) & hit(((h >> _U(32)) * _U(0x9E3779B1) & mask).astype(np.int64))
+                keep[keep] = _new(cls[keep], seen)
+                lists = _lists(sets, ends, keep)
+                take = pa.array(np.flatnonzero(keep))
+                yield pa.RecordBatch.from_arrays([pa.array(cls).take(take), lists.take(take)], names=["class", "s"])
+
+    found = _rows(docs, id_col, text_col).select("text").mapInArrow(run, "class bigint, s array<int>")
+    return found.groupBy("class").agg(F.first("s").alias("s"))
+
+
+def verified(candidates: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """``a, b, similarity`` of the candidates whose shingle sets are as similar as ``threshold``."""
     both = candidates.join(sets.select(F.col("class").alias("a"), F.col("s").alias("sa")), "a")
-    # sizes alone rule out most false candidates before the second set is fetched
     both = both.join(sets.select(F.col("class").alias("b"), F.col("s").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))
     return both.select("a", "b", (shared / (F.size("sa") + F.size("sb") - shared)).alias("similarity")).where(F.col("similarity") >= threshold)
@@ -157,7 +221,7 @@ def members(indexed: DataFrame, known: DataFrame | None) -> DataFrame:
     return one if known is None else one.join(known, "id", "left_semi")
 
 
-def near_duplicates(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8, segments: int = 8, width: int = 4) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8, segments: int = 8, width: int = 4, most_bloom_bits: int = 1 << 28) -> tuple[DataFrame, DataFrame]:
     """Similar classes of texts and the ids in them: ``(pairs: a, b, similarity)`` and ``(members: id, class)``.
 
     Similarity is the number of distinct k-word sequences in both texts over the number in either; words are runs of letters and digits
@@ -168,7 +232,9 @@ def near_duplicates(docs: DataFrame, known: DataFrame | None = None, id_col: str
     count once, with the latest ``fetched_at``; other columns are ignored.
     """
     table = stage(index(docs, id_col, text_col, k, segments, width), "p3")
-    return class_pairs(table, threshold), members(table, known)
+    candidates = stage(candidate_pairs(table), "p3-candidates")
+    sets = stage(shingle_sets(docs, id_col, text_col, k, _bloom(candidates, most_bloom_bits)), "p3-sets")
+    return verified(candidates, sets, threshold), members(table, known)
 
 
 #: Classes of more exact copies than this are given as pairs of their first id with each other id, so that pairs grow with the copies.

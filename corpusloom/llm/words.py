@@ -48,8 +48,8 @@ def slots(total: np.ndarray) -> pa.RecordBatch:
 SLOT_DDL = "slot int, data binary"
 
 
-def add_up(parts: DataFrame, shape: tuple[int, int], dtype) -> np.ndarray:
-    """Sum the slots that all partitions gave.  Each slot is added up by one task as a stream; only one array of ``shape`` reaches the driver."""
+def add_up(parts: DataFrame, shape: tuple[int, int], dtype, op=np.add) -> np.ndarray:
+    """Sum (or combine by ``op``) the slots that all partitions gave.  Each slot is added up by one task as a stream; only one array of ``shape`` reaches the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -57,7 +57,7 @@ def add_up(parts: DataFrame, shape: tuple[int, int], dtype) -> np.ndarray:
             for slot, data in zip(b.column("slot").to_pylist(), b.column("data").to_pylist()):
                 a = np.frombuffer(data, dtype)
                 if slot in sums:
-                    sums[slot] += a
+                    op(sums[slot], a, out=sums[slot])
                 else:
                     sums[slot] = a.copy()
         if sums:
