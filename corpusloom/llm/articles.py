@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .pages import Page, decoded, is_html, parse
+from .words import hash_sample
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _DIGITS = re.compile(r"\d+")
@@ -333,9 +334,9 @@ def captures(warc: DataFrame, fetches: DataFrame) -> DataFrame:
     return w.unionByName(p).where(F.col("good") & F.col("capture_id").isNotNull() & (F.octet_length("body") > 0)).drop("good")
 
 
-def fit_to(pages: DataFrame, most_pages: int = 2500) -> ArticleModel:
+def fit_to(pages: DataFrame, most_pages: int = 2000) -> ArticleModel:
     """Fit to the ``most_pages`` captures with the least hash of their id."""
-    sample = pages.orderBy(F.xxhash64("capture_id"), "capture_id").limit(most_pages).select("body", "content_type").collect()
+    sample = hash_sample(pages, "capture_id", most_pages).select("body", "content_type").collect()
     return fit([decoded(bytes(r.body), r.content_type) for r in sample])
 
 

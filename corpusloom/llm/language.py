@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tokens import lang_label
-from .words import _INVISIBLE, pieces
+from .words import _INVISIBLE, hash_sample, pieces
 
 #: Fixed value: the code of text without words.
 NO_LANGUAGE = "zxx_Latn"
@@ -197,15 +197,15 @@ def fit(
     return model
 
 
-def fit_with_records(reference: DataFrame, records: DataFrame, most_records: int = 1000, least_confidence: float = 0.999) -> LanguageModel:
+def fit_with_records(reference: DataFrame, records: DataFrame, most_records: int = 1500, least_confidence: float = 0.999) -> LanguageModel:
     """A model that also knows a bounded sample of labelled records.
 
-    The sample is the ``most_records`` labelled rows of ``records`` (``doc_id, lang, text``) with the least hash of their id; of those
+    The sample is the ``most_records`` rows of ``records`` (``doc_id, lang, text``) with the least hash of their id; of those
     the ones train whose label a first model, fitted to the reference alone, confirms with ``least_confidence`` and finds unmixed.
     """
     first = fit(reference)
-    labelled = records.select("doc_id", lang_label(F.col("lang")).alias("label"), "text").where(F.col("label").isin(first.languages) & F.col("text").isNotNull())
-    sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_records).select("label", "text").collect()
+    sample = hash_sample(records.select("doc_id", lang_label(F.col("lang")).alias("label"), "text"), "doc_id", most_records).select("label", "text").collect()
+    sample = [r for r in sample if r.label in first.languages and r.text]
     said = _verdicts(first, [r.text for r in sample], WordScores(first), 0.2, 2.0)
     more = [(r.label, r.text) for r, v in zip(sample, said) if v and v[0] == r.label and v[1] >= least_confidence and not v[2]]
     return fit(reference, more) if more else first

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .language import LanguageModel, WordScores, words_of
 from .tokens import lang_label
-from .words import _INVISIBLE
+from .words import _INVISIBLE, hash_sample
 
 TAGS = ("answer", "refusal", "echo", "foreign", "unfinished", "foreign_unfinished")
 A, R, E, G, U, GU = range(6)
@@ -323,14 +323,14 @@ def _log_odds(refusing: list[list[str]], others: list[list[str]]) -> dict:
     return {x: float(np.clip(np.log(((a[x] + 0.1) / na) / ((b[x] + 0.5) / nb)), -3, 3)) for x in {*a, *b} if a[x] > 1 or b[x] > 3}
 
 
-def fit(pairs: DataFrame, language: LanguageModel, texts: list[tuple[str, str]], most_rows: int = 12_000, seed: int = 11) -> PairModel:
+def fit(pairs: DataFrame, language: LanguageModel, texts: list[tuple[str, str]], most_rows: int = 8_000, seed: int = 11) -> PairModel:
     """Fit to the ``most_rows`` rows of ``pairs`` with the least hash of their id; ``texts`` are ``(lang, text)`` of known language.
 
     A row labelled ``safety`` teaches refusals; responses in the wanted language that end with a stop and copy nothing teach
     answers, and are composed into broken-off, foreign, echoing and refusing responses with known tags.
     """
-    cols = pairs.where(F.col("response").isNotNull() & F.col("prompt").isNotNull() & F.col("id").isNotNull())
-    sample = cols.orderBy(F.xxhash64("id"), "id").limit(most_rows).select("prompt", "response", "task_type", lang_label(F.col("lang")).alias("lang")).distinct().orderBy("prompt", "response").collect()
+    cols = hash_sample(pairs, "id", most_rows).where(F.col("response").isNotNull() & F.col("prompt").isNotNull() & F.col("id").isNotNull())
+    sample = cols.select("prompt", "response", "task_type", lang_label(F.col("lang")).alias("lang")).distinct().orderBy("prompt", "response").collect()
     model = PairModel(language, {}, EndModel(), {}, np.zeros((N_FEATURES, len(TAGS))), np.zeros((len(TAGS), len(TAGS))))
     rng = np.random.default_rng(seed)
     rows = [(plain(r.prompt), plain(r.response), r.task_type) for r in sample]

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Fixed value: characters that show nothing.
 _INVISIBLE = re.compile("[­​-‏⁠﻿]")
@@ -17,6 +18,14 @@ _INVISIBLE = re.compile("[­​-‏⁠﻿]")
 SLOT_ROWS = 1024
 
 
+def hash_sample(rows: DataFrame, id_col: str, most: int) -> DataFrame:
+    """The ``most`` rows with the least hash of their id, for fitting a model; about all that leave the executors is the sample itself."""
+    total = rows.count()
+    share = min(1.0, 2.0 * most / max(total, 1))
+    place = F.pmod(F.xxhash64(F.lit(97), F.col(id_col)), F.lit(1 << 40))
+    return rows.where(place < F.lit(int(share * (1 << 40)))).orderBy(place, id_col).limit(most)
+
+
 def clean(text: str) -> str:
     """Character references resolved and invisible characters dropped."""
     if "&" in text:
