@@ -1 +1,5 @@
-"""Functions of the corpus engine."""
+"""Column functions of the corpus engine."""
+
+from . import hashing, text, urls
+
+__all__ = ["hashing", "text", "urls"]

@@ -1 +1,5 @@
-"""Sources of the corpus engine."""
+"""Sources and sinks of the corpus engine."""
+
+from . import readers
+
+__all__ = ["readers"]

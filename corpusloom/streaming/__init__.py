@@ -1 +1,5 @@
-"""Streaming of the corpus engine."""
+"""Streaming and iterative operators of the corpus engine."""
+
+from . import incremental
+
+__all__ = ["incremental"]
