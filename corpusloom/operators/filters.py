@@ -49,7 +49,14 @@ register_filter("min_words", lambda t, p: T.word_count(t) < p.min_words)
 register_filter("url_ratio", lambda t, p: T.url_ratio(t) > p.max_url_ratio)
 register_filter("alpha_ratio", lambda t, p: T.alpha_ratio(t) < p.min_alpha_ratio)
 register_filter("repetition", lambda t, p: T.repeated_line_ratio(t) > p.max_repeated_lines)
-register_filter("word_ngram_repetition", lambda t, p: (T.ngram_repetition(t, 2) > p.max_ngram_2) | (T.ngram_repetition(t, 3) > p.max_ngram_3) | (T.ngram_repetition(t, 4) > p.max_ngram_4))
+
+
+def _ngrams_repeat(t: Column, p: FilterProfile) -> Column:
+    r = T.ngram_repetitions(t)
+    return (r["rep_2"] > p.max_ngram_2) | (r["rep_3"] > p.max_ngram_3) | (r["rep_4"] > p.max_ngram_4)
+
+
+register_filter("word_ngram_repetition", _ngrams_repeat)
 register_filter("mixed_script", lambda t, p: T.non_latin_ratio(t) > p.max_non_latin)
 
 
@@ -67,8 +74,7 @@ def required_confidence(chars: Column) -> Column:
 def decide_keep(df: DataFrame, profile: FilterProfile = FilterProfile(), text_col: str = "text", lang_col: str = "lang", score_col: str = "lid_score") -> DataFrame:
     """Adds ``keep, reason``: too short, wrong language, language not sure enough, else the first failed filter, else ``keep``.
 
-    The language comes from whatever identifier filled ``lang_col`` and ``score_col``.  The cheap tests stand first in one ``CASE``, so the costly ones
-    only run for texts that passed them.  Null text is too short; a null label is another language, a null score 0.
+    The language comes from whatever identifier filled ``lang_col`` and ``score_col``.  Null text is too short; a null label is another language, a null score 0.
     """
     t = F.coalesce(F.col(text_col), F.lit(""))
     reason = F.when(F.length(t) < profile.min_chars, "reject.too_short")

@@ -50,8 +50,7 @@ def text_measures(spark, d):
 
 
 def ngram_repetition(spark, d):
-    t = F.col("text")
-    return _t(spark, d, "documents").select("doc_id", *(T.ngram_repetition(t, n).alias(f"rep_{n}") for n in (2, 3, 4)))
+    return _t(spark, d, "documents").select("doc_id", T.ngram_repetitions(F.col("text")).alias("r")).select("doc_id", "r.*")
 
 
 def keep_decision(spark, d):
