@@ -88,7 +88,7 @@ class ArticleModel:
     split: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), int))
     cut: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     leaf: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
-    base: float = 0.0
+    base: float = -5.0
     mixed_cost: float = 0.5
 
     def features(self, v: View) -> np.ndarray:
