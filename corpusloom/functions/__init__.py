@@ -1,5 +1,5 @@
 """Column functions of the corpus engine."""
 
-from . import hashing, text, urls
+from . import hashing, markup, text, urls
 
-__all__ = ["hashing", "text", "urls"]
+__all__ = ["hashing", "markup", "text", "urls"]

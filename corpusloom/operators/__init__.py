@@ -1,5 +1,5 @@
 """Operators of the corpus engine."""
 
-from . import aggregates, dedup, filters, packaging
+from . import aggregates, dedup, filters, packaging, sections
 
-__all__ = ["aggregates", "dedup", "filters", "packaging"]
+__all__ = ["aggregates", "dedup", "filters", "packaging", "sections"]

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing as H
+from ..functions import markup as M
 from ..functions import text as T
 from ..functions import urls as U
 from ..operators import aggregates as A
 from ..operators import dedup as D
 from ..operators import filters as L
 from ..operators import packaging as P
+from ..operators import sections as X
 from ..session import shared_folder, stage
 from ..streaming import incremental as S
 
@@ -123,6 +125,23 @@ def capture_urls(spark, d):
     return p.select("capture_id", U.capture_url(F.col("capture_ts"), F.col("url")).alias("capture_url"), U.done_key(F.col("url"), F.col("capture_ts")).alias("done_key")).distinct()
 
 
+def page_links(spark, d):
+    p = _t(spark, d, "page_fetches").where(F.col("ok")).select("capture_id", "url", F.coalesce("content", "html_bytes").alias("body")).dropDuplicates(["capture_id"])
+    return p.select("capture_id", F.posexplode(M.extract_links(F.col("body"), F.col("url"))).alias("pos", "target"))
+
+
+def language_pairs(spark, d):
+    p = _t(spark, d, "page_fetches").where(F.col("ok")).select("url", F.coalesce("content", "html_bytes").alias("body")).dropDuplicates(["url"])
+    return p.select("url", M.language_pair(F.col("body"), F.col("url")).alias("p")).where(F.col("p.method").isNotNull()).select("url", "p.*")
+
+
+def language_sections(spark, d):
+    """Blocks take the label of their document here; any identifier of blocks can stand in its place."""
+    docs = _t(spark, d, "documents").select("doc_id", "text", "lang")
+    label = docs.select(F.col("doc_id").alias("id"), "lang")
+    return X.language_sections(docs, "doc_id", "text", lambda b: b.join(label, "id").withColumn("score", F.lit(1.0))).select("doc_id", F.length("text").alias("chars"))
+
+
 def warc_outcomes(spark, d):
     w = _t(spark, d, "warc_records")
     return w.groupBy("warc_type", "http_status", "ok", "error", F.element_at("http_headers", "content-type").alias("content_type")).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("body")), F.lit(0)).alias("bytes"))
@@ -329,7 +348,7 @@ def frontier(spark, d):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         filter_reasons, filter_reasons_books, text_measures, ngram_repetition, keep_decision, keep_decision_targeted, normalized_text, collapsed_text, frame_lines_removed, shingle_counts, index_language_scan,
-        instruction_reasons, pair_reasons, example_ids, url_parts, url_safety, capture_urls, warc_outcomes, exact_dedup, exact_dedup_across_runs, fuzzy_dedup, combined_dedup, pair_dedup, capped_sides, pending_ids,
+        instruction_reasons, pair_reasons, example_ids, url_parts, url_safety, capture_urls, page_links, language_pairs, language_sections, warc_outcomes, exact_dedup, exact_dedup_across_runs, fuzzy_dedup, combined_dedup, pair_dedup, capped_sides, pending_ids,
         newest_meta, latest_captures, shard_documents, run_stats, domain_yield, reject_reasons, lid_histogram, length_histogram, top_domains, combined_reports, combined_reasons, combined_histogram,
         combined_domains, dataset_index, dataset_stats, token_ratio_percentiles, threshold_yields, keep_precision, task_counts, enriched_documents, splits, majority_types, mixed_selection, packed_sequences,
         stratified_sample, interleaved_domains, event_windows, streamed_keep, frontier,
