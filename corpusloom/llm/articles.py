@@ -1,7 +1,7 @@
 """The article of a page without the frame of its site (problem 4).
 
 Gradient-boosted trees score every unit of text from features of its place in the element tree: density of text and links in the
-subtrees around it, tokens of attributes, depth, statistics of its siblings, its place against the headline.  Hierarchical
+subtrees around it, tokens of attributes, depth, statistics of its siblings, its place against the headline.  Candidates are the units of the headline's element from the headline on.  Hierarchical
 decoding then labels the tree as a whole: an element is kept, dropped or mixed, and below a kept or dropped one nothing may say
 otherwise.
 
@@ -16,6 +16,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 from math import log1p
 
 import numpy as np
@@ -24,13 +25,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .pages import Page, decoded, is_html, parse
-from .words import hash_sample
+from .words import hash_sample, pieces
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _DIGITS = re.compile(r"\d+")
 _COUNTED = re.compile(r"\(\d+\)\s*$")
 _SHUT = re.compile(r"[.!?)%»\"”]\s*$")
 _TAGS = ("p", "div", "span", "li", "td", "h1", "h2", "h3", "h4", "blockquote", "button", "center", "body", "section", "aside")
+_ONE_HOT = {x: tuple(int(x == y) for y in _TAGS) for x in _TAGS}
+_NO_TAG = (0,) * len(_TAGS)
 _FRAMES = ("nav", "header", "footer", "aside", "form", "button", "ul", "table", "article", "main", "section", "center")
 
 
@@ -48,6 +51,10 @@ class View:
     spans: dict
     inside: list[bool]
 
+    def candidates(self) -> list[int]:
+        """The units that can be article: in the headline's element, from the headline on."""
+        return [i for i in range(self.headline, len(self.inside)) if self.inside[i]] if self.headline >= 0 else []
+
 
 def view(page: Page) -> View:
     """Find the headline (the first unit that begins the title) and the element around it that holds more text."""
@@ -92,17 +99,22 @@ class ArticleModel:
     mixed_cost: float = 0.5
 
     def features(self, v: View) -> np.ndarray:
+        """One row of numbers for each candidate unit."""
         nodes, units = v.page.nodes, v.page.units
         n = len(units)
+        split = [u.text.split() for u in units]
         size = [len(u.text) for u in units]
-        word = [len(u.text.split()) for u in units]
-        link = [u.linked / max(len(u.text), 1) for u in units]
+        word = [len(w) for w in split]
+        link = [u.linked / max(z, 1) for u, z in zip(units, size)]
         dots = [u.text.rstrip().endswith(("…", "...")) for u in units]
-        shut = [bool(_SHUT.search(u.text)) for u in units]
+        shut = [_SHUT.search(u.text) is not None for u in units]
+        # an element's units stand next to each other, so sums over it are differences of running sums
+        words_to, chars_to, linked_to, dots_to, shut_to = (list(accumulate(x, initial=0)) for x in (word, size, (min(u.linked, z) for u, z in zip(units, size)), dots, shut))
         stats = {}
-        for k, s in v.spans.items():
-            total, chars = sum(word[i] for i in s), sum(size[i] for i in s)
-            stats[k] = (len(s), total / len(s), sum(link[i] * size[i] for i in s) / max(chars, 1), sum(dots[i] for i in s) / len(s), sum(shut[i] for i in s) / len(s), log1p(total))
+        for k, sp in v.spans.items():
+            i, j = sp[0], sp[-1] + 1
+            m, total, chars = j - i, words_to[j] - words_to[i], chars_to[j] - chars_to[i]
+            stats[k] = (m, total / m, (linked_to[j] - linked_to[i]) / max(chars, 1), (dots_to[j] - dots_to[i]) / m, (shut_to[j] - shut_to[i]) / m, log1p(total))
         head_chain, k = {}, units[v.headline].node if v.headline >= 0 else -1
         while k >= 0:
             head_chain[k] = len(head_chain)
@@ -115,26 +127,27 @@ class ArticleModel:
             flags.append(tuple(int(f or d.tag == x) for f, x in zip(flags[d.parent], _FRAMES)) if d.tag in _FRAMES else flags[d.parent])
             odds.append(odds[d.parent] + tuple(_odds(self.names, d.names)) if d.names else odds[d.parent])
             meets.append(head_chain[k] if k in head_chain else meets[d.parent])
-        none = (0, 0, 0, 0, 0, 0)
+        none, table = (0, 0, 0, 0, 0, 0), self.words
         rows = []
-        for i, u in enumerate(units):
+        for i in v.candidates():
+            u = units[i]
             node, parent = nodes[u.node], max(nodes[u.node].parent, 0)
             grand = max(nodes[parent].parent, 0)
             o = odds[u.node]
             own = _odds(self.names, node.names + nodes[parent].names)
-            low = [w.lower() for w in _LETTERS.findall(u.text)]
-            lw, first = _odds(self.words, low), _odds(self.words, [("^", *low[:2])])
             t = u.text
-            digits = sum(map(len, _DIGITS.findall(t))) / max(len(t), 1)
-            caps = sum(w[:1].isupper() for w in t.split()) / max(word[i], 1)
+            low = _LETTERS.findall(t.lower())
+            lw, first = [table[w] for w in low if w in table], table.get(("^", *low[:2]), 0.0)
+            digits = sum(map(len, _DIGITS.findall(t))) / max(size[i], 1)
+            caps = sum(map(str.isupper, [w[0] for w in split[i]])) / max(word[i], 1)
             before, after = (units[i - 1] if i else None), (units[i + 1] if i + 1 < n else None)
             rows.append(
                 [
                     word[i], size[i], link[i], dots[i], shut[i], digits, caps, "|" in t, "©" in t, bool(_COUNTED.search(t)), u.in_head, len(u.pieces),
                     node.depth, i / n, n, v.headline >= 0, i == v.headline, max(-20, min(40, i - v.headline)) if v.headline >= 0 else -30, v.inside[i], meets[u.node],
                     u.node == v.container, node.parent == v.container, i == n - 1 and not v.page.closed, v.page.closed,
-                    *stats.get(u.node, none), *stats.get(parent, none), *stats.get(grand, none), *(node.tag == x for x in _TAGS), *flags[u.node],
-                    sum(o) / len(o) if o else 0, min(o, default=0), max(o, default=0), sum(own) / len(own) if own else 0, sum(lw) / len(lw) if lw else 0, min(lw, default=0), first[0] if first else 0,
+                    *stats.get(u.node, none), *stats.get(parent, none), *stats.get(grand, none), *_ONE_HOT.get(node.tag, _NO_TAG), *flags[u.node],
+                    sum(o) / len(o) if o else 0, min(o, default=0), max(o, default=0), sum(own) / len(own) if own else 0, sum(lw) / len(lw) if lw else 0, min(lw, default=0), first,
                     word[i - 1] if i else 0, word[i + 1] if i + 1 < n else 0, link[i - 1] if i else 0, link[i + 1] if i + 1 < n else 0, dots[i - 1] if i else 0, dots[i + 1] if i + 1 < n else 0,
                     bool(before and nodes[before.node].tag[:1] == "h"), bool(after and after.node == u.node), bool(before and before.node == u.node),
                 ]
@@ -155,29 +168,34 @@ class ArticleModel:
             out += leaf[at]
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
-    def kept(self, v: View) -> list[bool]:
-        """Which units are the article, decoded over the tree."""
+    def kept(self, v: View, p: np.ndarray | None = None) -> list[bool]:
+        """Which units are the article, decoded over the tree; ``p`` are the candidates' probabilities if they are known."""
         units, nodes = v.page.units, v.page.nodes
         if not units:
             return []
-        p = np.clip(self.probabilities(self.features(v)), 1e-4, 1 - 1e-4)
-        keep_cost, drop_cost = -np.log(p), -np.log(1 - p)
+        found = self.probabilities(self.features(v)) if p is None else p
+        p = np.zeros(len(units))
+        p[v.candidates()] = found
+        p = np.clip(p, 1e-4, 1 - 1e-4)
+        keep_cost, drop_cost = (-np.log(p)).tolist(), (-np.log(1 - p)).tolist()
+        keep_to, drop_to = list(accumulate(keep_cost, initial=0.0)), list(accumulate(drop_cost, initial=0.0))
         mine: dict[int, list[int]] = defaultdict(list)
         below: dict[int, list[int]] = defaultdict(list)
         for i, u in enumerate(units):
             mine[u.node].append(i)
-        for k in range(len(nodes) - 1, 0, -1):
-            if k in v.spans:
-                below[nodes[k].parent].append(k)
         best, say = {}, {}
-        for k in range(len(nodes) - 1, -1, -1):  # children come after their parents
-            if k not in v.spans:
-                continue
-            s = v.spans[k]
-            keep, drop = keep_cost[s].sum(), drop_cost[s].sum()
-            mixed = self.mixed_cost + sum(min(keep_cost[i], drop_cost[i]) for i in mine[k]) + sum(best[c] for c in below[k])
+        for k in sorted(v.spans, reverse=True):  # children come after their parents
+            i, j = v.spans[k][0], v.spans[k][-1] + 1
+            keep, drop = keep_to[j] - keep_to[i], drop_to[j] - drop_to[i]
+            mixed = self.mixed_cost
+            for n in mine.get(k, ()):
+                mixed += min(keep_cost[n], drop_cost[n])
+            for c in below.get(k, ()):
+                mixed += best[c]
             best[k] = min(keep, drop, mixed)
             say[k] = "keep" if best[k] == keep else "drop" if best[k] == drop else "mixed"
+            if k:
+                below[nodes[k].parent].append(k)
         out = [False] * len(units)
         stack = [0]
         while stack:
@@ -186,20 +204,33 @@ class ArticleModel:
                 for i in v.spans[k]:
                     out[i] = True
             elif say.get(k) == "mixed":
-                for i in mine[k]:
-                    out[i] = bool(keep_cost[i] < drop_cost[i])
-                stack.extend(below[k])
+                for i in mine.get(k, ()):
+                    out[i] = keep_cost[i] < drop_cost[i]
+                stack.extend(below.get(k, ()))
         return [o and not u.in_head for o, u in zip(out, units)]
 
+    def decoded_pages(self, texts: list[str]) -> list[tuple[View, list[bool]] | None]:
+        """View and kept units of each page, none for what is no page with a headline; one run of the trees for all."""
+        views = [view(parse(t)) if t and is_html(t) else None for t in texts]
+        views = [v if v and v.headline >= 0 else None for v in views]
+        x = [self.features(v) for v in views if v]
+        p = self.probabilities(np.vstack(x)) if x else np.zeros(0)
+        out, at = [], 0
+        for v in views:
+            if v is None:
+                out.append(None)
+                continue
+            n = len(v.candidates())
+            out.append((v, self.kept(v, p[at : at + n])))
+            at += n
+        return out
+
+    def articles(self, texts: list[str]) -> list[list[int]]:
+        """Numbers of the pieces of each page's article; none for a page without one or a text that is no HTML."""
+        return [[n for u, k in zip(d[0].page.units, d[1]) if k for n in u.pieces] if d and d[1][d[0].headline] else [] for d in self.decoded_pages(texts)]
+
     def article(self, text: str) -> list[int]:
-        """Numbers of the pieces of the article; none for a page without one or a text that is no HTML."""
-        if not text or not is_html(text):
-            return []
-        v = view(parse(text))
-        keep = self.kept(v)
-        if v.headline < 0 or not keep[v.headline]:
-            return []
-        return [p for u, k in zip(v.page.units, keep) if k for p in u.pieces]
+        return self.articles([text])[0]
 
 
 def _cell(v: View, u) -> bool:
@@ -318,8 +349,8 @@ def fit(texts: list[str], trees: int = 40, depth: int = 4, rate: float = 0.25, f
     model = ArticleModel(_token_odds(good_n, bad_n, 5), _token_odds(good_w, bad_w, 5))
     if not views or not any(any(y) for y in labels):
         return model
-    x = np.vstack([model.features(v) for v in views if v.page.units])
-    y = np.array([l for v, row in zip(views, labels) if v.page.units for l in row], float)
+    x = np.vstack([model.features(v) for v in views if v.headline >= 0])
+    y = np.array([row[i] for v, row in zip(views, labels) for i in v.candidates()], float)
     model.split, model.cut, model.leaf, model.base = _boost(x, y, trees, depth, rate)
     return model
 
@@ -351,11 +382,18 @@ def article_pieces(pages: DataFrame, model: ArticleModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in batches:
-            ids, out = [], []
-            for i, kind, body in zip(*(b.column(c).to_pylist() for c in ("capture_id", "content_type", "body"))):
-                found = m.article(decoded(body, kind))
-                ids.extend([i] * len(found))
-                out.extend(found)
+            ids, out, at = [], [], 0
+            captures = b.column("capture_id").to_pylist()
+            once: dict[str, list] = {}
+            for i, x, k in zip(captures, b.column("body").to_pylist(), b.column("content_type").to_pylist()):
+                once.setdefault(decoded(x, k), []).append(i)
+            same = list(once.values())
+            for part in pieces(list(once)):
+                for equal, found in zip(same[at : at + len(part)], m.articles(part)):
+                    for i in equal:
+                        ids.extend([i] * len(found))
+                        out.extend(found)
+                at += len(part)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.int64())], names=["capture_id", "piece_no"])
 
     rows = pages.select(F.col("capture_id").cast("long").alias("capture_id"), "content_type", "body")
@@ -370,12 +408,10 @@ def article_texts(pages: DataFrame, model: ArticleModel) -> DataFrame:
         m = shared.value
         for b in batches:
             titles, texts = [], []
-            for kind, body in zip(b.column("content_type").to_pylist(), b.column("body").to_pylist()):
-                t = decoded(body, kind)
-                v = view(parse(t)) if is_html(t) else None
-                keep = m.kept(v) if v and v.headline >= 0 else []
-                titles.append(v.page.units[v.headline].text if v and v.headline >= 0 else "")
-                texts.append("\n".join(u.text for u, k in zip(v.page.units, keep) if k) if keep and keep[v.headline] else "")
+            for part in pieces([decoded(x, k) for x, k in zip(b.column("body").to_pylist(), b.column("content_type").to_pylist())]):
+                for d in m.decoded_pages(part):
+                    titles.append(d[0].page.units[d[0].headline].text if d else "")
+                    texts.append("\n".join(u.text for u, k in zip(d[0].page.units, d[1]) if k) if d and d[1][d[0].headline] else "")
             yield pa.RecordBatch.from_arrays([b.column("capture_id"), b.column("url"), pa.array(titles, pa.string()), pa.array(texts, pa.string())], names=["capture_id", "url", "title", "text"])
 
     rows = pages.select(F.col("capture_id").cast("long").alias("capture_id"), "url", "content_type", "body")
