@@ -87,12 +87,10 @@ def dataset_stats(index: DataFrame) -> DataFrame:
 
 def percentiles(df: DataFrame, value: Column, *group: str) -> DataFrame:
     """Count, mean and the values at the index positions n/20, n/4, n/2, 3n/4, 19n/20 of the sorted values (no interpolation)."""
-    from pyspark.sql import Window
+    from .dedup import ranked
 
-    v = df.where(value.isNotNull()).select(*group, value.alias("v"))
-    w = Window.partitionBy(*group)
-    # positions come from ranks, so no group's values are collected into one row
-    r = v.withColumn("i", F.row_number().over(w.orderBy("v")) - 1).withColumn("n", F.count("*").over(w))
+    # positions come from ranks, so no group's values are collected into one row or task
+    r = ranked(df.where(value.isNotNull()).select(*group, value.alias("v")), list(group), F.col("v")).withColumnsRenamed({"rank": "i", "size": "n"})
     at = lambda q: F.max(F.when(F.col("i") == q, F.col("v")))
     n = F.col("n")
     return r.groupBy(*group).agg(

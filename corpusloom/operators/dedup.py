@@ -15,18 +15,50 @@ from ..functions import hashing as H
 from ..session import stage
 
 
+#: Parts that the rows of one key are dealt into before they compete, so that a key of a third of all rows isn't one task.
+SALTS = 32
+
+
+def _order_salt(order: tuple[Column, ...]) -> Column:
+    return F.pmod(F.xxhash64(*order), F.lit(SALTS)).cast("int")
+
+
 def first_wins(df: DataFrame, key: Column | list[Column], *order: Column) -> DataFrame:
-    """Adds ``duplicate``: not the first row of its key in this order.  Null keys are one key."""
-    w = Window.partitionBy(*(key if isinstance(key, list) else [key])).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).withColumn("duplicate", F.col("_n") > 1).drop("_n")
+    """Adds ``duplicate``: not the first row of its key in this order.  Null keys are one key; of rows equal in key and order one is first.
+
+    The firsts of the parts of a key compete in a second window that all other rows pass in their own parts.
+    """
+    keys = key if isinstance(key, list) else [key]
+    part = df.withColumn("_s", _order_salt(order))
+    part = part.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "_s").orderBy(*order)))
+    last = Window.partitionBy(*keys, F.when(F.col("_n") == 1, -1).otherwise(F.col("_s"))).orderBy(*order)
+    return part.withColumn("_m", F.row_number().over(last)).withColumn("duplicate", (F.col("_n") > 1) | (F.col("_m") > 1)).drop("_s", "_n", "_m")
 
 
 def keep_first(df: DataFrame, key: Column | list[Column], *order: Column) -> DataFrame:
-    """Only the first row of each key; Catalyst limits each group before the shuffle."""
+    """Only the first row of each key; Catalyst limits each group to one row before the shuffle, so hot keys cost no more than others."""
     w = Window.partitionBy(*(key if isinstance(key, list) else [key])).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") == 1).drop("_n")
 
 
+def ranked(df: DataFrame, group: list[str], *order: Column) -> DataFrame:
+    """Adds ``rank`` (from 0) and ``size`` of each row in its group, without any group in one task.
+
+    Rows are range-partitioned by group and order (ties by a hash of the row), ranked within their partition, and moved on by the sizes of the group's
+    earlier partitions, of which there are few.  Rows equal in everything stay together; the table is written once so that both readings agree.
+    """
+    tie = F.xxhash64(*df.columns)
+    spread = df.repartitionByRange(*(F.col(g) for g in group), *order, tie).withColumn("_p", F.spark_partition_id())
+    w = Window.partitionBy(*group, "_p").orderBy(*order, tie)
+    local = stage(spread.withColumn("_r", F.row_number().over(w) - 1), "ranked")
+    sizes = local.groupBy(*group, "_p").agg(F.count("*").alias("_c"))
+    by = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_c").over(by), F.lit(0))).withColumn("size", F.sum("_c").over(Window.partitionBy(*group)))
+    sizes = sizes.withColumnsRenamed({c: f"_of_{c}" for c in [*group, "_p"]})
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [*group, "_p"]]
+    return local.join(sizes, same).select(*df.columns, (F.col("_r") + F.col("_before")).alias("rank"), "size")
+
+
 def keep_last(df: DataFrame, key: str, *order: str) -> DataFrame:
     """The row of each key that is greatest in ``order``, then in its other columns; one hash aggregation, no sort of whole groups."""
     rest = [c for c in df.columns if c != key and c not in order]
@@ -153,30 +185,29 @@ def pair_dedup(df: DataFrame, left: Column, right: Column, *order: Column) -> Da
 def capped_sides(df: DataFrame, left: str, right: str, order_col: str, most: int = 5) -> DataFrame:
     """Adds ``accepted``: new pairs in order, each side at most ``most`` times among accepted ones.
 
-    Whether a pair is accepted depends on those accepted before it that share a side with it.  In rounds: a pair is decided once fewer undecided pairs
-    before it share a side than that side has places left, or the places are gone.  Each round counts per side with windows over the undecided pairs;
-    a side that is used up closes all its later pairs at once.
+    Whether a pair is accepted depends on those accepted before it that share a side with it.  In rounds: a pair is accepted once it is among as many
+    first undecided pairs of each of its sides as that side has places left, and dropped once one of them has none.  Ranks above ``most`` decide
+    nothing, so Catalyst cuts each side to its first rows before the shuffle and a side in a third of all pairs isn't gathered in one task.
     """
     rows = df.withColumn("_l", F.xxhash64(left)).withColumn("_r", F.xxhash64(right))
-    fresh = keep_first(rows.select("_l", "_r", F.col(order_col).alias("_o")), [F.col("_l"), F.col("_r")], F.col("_o"))
-    todo = stage(fresh, "sides")
+    todo = stage(keep_first(rows.select("_l", "_r", F.col(order_col).alias("_o")), [F.col("_l"), F.col("_r")], F.col("_o")), "sides")
     accepted = None
-    used_l = used_r = None
     while todo.limit(1).count():
-        ahead = todo
-        for side, used in (("_l", used_l), ("_r", used_r)):
-            w = Window.partitionBy(side).orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
-            ahead = ahead.withColumn(f"{side}_n", F.coalesce(F.count("*").over(w), F.lit(0)))
-            ahead = ahead.join(used, side, "left") if used is not None else ahead.withColumn(f"{side}_used", F.lit(0).cast("long"))
-            ahead = ahead.withColumn(f"{side}_left", most - F.coalesce(f"{side}_used", F.lit(0)))
-        gone = (F.col("_l_left") <= 0) | (F.col("_r_left") <= 0)
-        sure = ~gone & (F.col("_l_n") < F.col("_l_left")) & (F.col("_r_n") < F.col("_r_left"))
-        state = stage(ahead.select("_l", "_r", "_o", gone.alias("gone"), sure.alias("sure")), "sides-state")
-        now = state.where(F.col("sure")).select("_l", "_r", "_o")
-        accepted = now if accepted is None else accepted.unionByName(now)
-        used_l = accepted.groupBy("_l").agg(F.count("*").alias("_l_used"))
-        used_r = accepted.groupBy("_r").agg(F.count("*").alias("_r_used"))
-        todo = stage(state.where(~F.col("sure") & ~F.col("gone")).select("_l", "_r", "_o"), "sides-todo")
+        sure = todo
+        used = {}
+        for side in ("_l", "_r"):
+            first = todo.select(side, "_o").withColumn("_n", F.row_number().over(Window.partitionBy(side).orderBy("_o"))).where(F.col("_n") <= most)
+            if accepted is not None:
+                used[side] = accepted.groupBy(side).agg(F.count("*").alias("_used"))
+                first = first.join(used[side], side, "left").where(F.col("_n") <= most - F.coalesce("_used", F.lit(0)))
+            sure = sure.join(first.select("_o"), "_o", "left_semi")
+        sure = stage(sure, "sides-sure")
+        accepted = sure if accepted is None else stage(accepted.unionByName(sure), "sides-accepted")
+        rest = todo.join(sure.select("_o"), "_o", "left_anti")
+        for side in ("_l", "_r"):
+            closed = accepted.groupBy(side).agg(F.count("*").alias("_used")).where(F.col("_used") >= most)
+            rest = rest.join(closed.select(side), side, "left_anti")
+        todo = stage(rest, "sides-todo")
     if accepted is None:
         return df.withColumn("accepted", F.lit(False))
     return df.join(accepted.select(F.col("_o").alias(order_col)).withColumn("accepted", F.lit(True)), order_col, "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))

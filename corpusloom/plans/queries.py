@@ -301,9 +301,9 @@ def mixed_selection(spark, d):
 
 def packed_sequences(spark, d):
     """Characters as tokens, so that the packing itself can be checked."""
-    docs = _t(spark, d, "documents").where(F.length("text") > 0).select("source", "doc_id", F.transform(F.split("text", ""), lambda c: F.ascii(c)).alias("ids"))
-    docs = docs.where(F.col("source").isNotNull())
-    return P.pack_sequences(docs, "source", "doc_id", "ids", 0).select("source", "seq_no", "length", F.aggregate("input_ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("checksum"))
+    shard = F.concat_ws("-", F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 5000))
+    docs = _t(spark, d, "documents").where(F.length("text") > 0).select(shard.alias("shard"), "doc_id", F.transform(F.split("text", ""), lambda c: F.ascii(c)).alias("ids"))
+    return P.pack_sequences(docs, "shard", "doc_id", "ids", 0).select("shard", "seq_no", "length", F.aggregate("input_ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("checksum"))
 
 
 def stratified_sample(spark, d):
