@@ -16,16 +16,19 @@ from ..operators import dedup as D
 from ..operators import filters as L
 from ..operators import packaging as P
 from ..operators import sections as X
-from ..session import shared_folder, stage
+from ..session import shared_folder, spread, stage
 from ..streaming import incremental as S
 
 SEED = "v1-stable"
+#: Tables whose rows hold texts or pages, costly to measure.
+WITH_TEXT = {"documents", "wet_records", "extracted_docs", "instruction_examples", "warc_records", "page_fetches"}
 #: Shares of content types in the mixed selection.
 TYPE_RATIOS = {"news": 0.15, "government": 0.05, "academic": 0.10, "religious": 0.10, "wiki": 0.10, "other": 0.50}
 
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    table = spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(table) if name in WITH_TEXT else table
 
 
 def _decided(spark: SparkSession, d: str) -> DataFrame:

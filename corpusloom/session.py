@@ -56,6 +56,15 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores: a small table in one file would keep one core busy with all parsing and scoring.
+
+    Where the scan has that many splits, as any large table has, nothing changes.  Columns and filters still reach the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores else df.repartition(cores)
+
+
 def drop_staged() -> None:
     """Remove every table written by :func:`stage` in this process."""
     for path, spark in list(_STAGED.items()):
