@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..plans.queries import WITH_TEXT
+from ..session import spread, stage
 from . import articles, language, mixing, near_duplicates, packing, pairs, repeated_lines, subjects, tokens
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(table) if name in WITH_TEXT else table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
