@@ -319,6 +319,60 @@ def interleaved_domains(spark, d):
     return P.interleave(docs, "domain", "doc_id", 5, 300)
 
 
+def seeded_top(spark, d):
+    """The first 100 documents of a deterministic shuffle."""
+    docs = _t(spark, d, "documents").select("doc_id", H.seeded_order(SEED, F.col("doc_id").cast("string")).alias("place"))
+    return docs.orderBy("place").limit(100)
+
+
+def index_verification(spark, d):
+    """The index against a listing that lacks one shard in seven and has another size for one in five."""
+    i = P.build_index(_index(spark, d), "pretrain", "corpus/v1", "store")
+    digit = F.conv(F.substring("checksum_sha256", 1, 6), 16, 10).cast("long")
+    listing = i.where(digit % 7 != 0).select(F.col("s3_key").alias("key"), (F.col("bytes") + F.when(digit % 5 == 0, 1).otherwise(0)).alias("size"))
+    return P.verify(i, listing)
+
+
+def dead_letters(spark, d):
+    """Failed fetches by reason and whether to try again."""
+    p = _t(spark, d, "page_fetches").where(~F.col("ok"))
+    return p.groupBy("channel", F.col("error").alias("reason"), (~F.col("error").rlike("^http_4|content_type")).alias("retryable")).agg(F.countDistinct("capture_id").alias("n"))
+
+
+def all_sources(spark, d):
+    """The records of all pipelines under one another."""
+    cols = ("source", "lang", "text")
+    every = _t(spark, d, "wet_records").select(*cols).unionByName(_t(spark, d, "extracted_docs").select(*cols)).unionByName(_t(spark, d, "documents").select(*cols))
+    return every.groupBy("source").agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars"))
+
+
+def prompts_of_templates(spark, d):
+    """Templates by topics: the reference's subjects asked about in every language."""
+    r = _t(spark, d, "subject_reference")
+    templates = r.select("lang").distinct().select(F.concat(F.lit("["), "lang", F.lit("] {topic}?")).alias("template"))
+    topics = r.select("subject").distinct()
+    return templates.crossJoin(F.broadcast(topics)).select(F.replace("template", F.lit("{topic}"), F.col("subject")).alias("prompt"), "subject")
+
+
+def dedup_report(spark, d):
+    e = exact_dedup(spark, d).join(_t(spark, d, "documents").select("doc_id", "source"), "doc_id")
+    dup = F.col("reason") != "keep"
+    return e.groupBy("source").agg(F.count("*").alias("total"), F.count_if(~dup).alias("kept"), F.count_if(dup).alias("exact"))
+
+
+def latest_events(spark, d):
+    return D.keep_last(_t(spark, d, "events").select("user_id", "ts", "event_id", "event_type"), "user_id", "ts", "event_id")
+
+
+def first_events(spark, d):
+    e = _t(spark, d, "events").select("user_id", "event_type", "ts", "event_id")
+    return D.keep_first(e, [F.col("user_id"), F.col("event_type")], F.col("ts"), F.col("event_id")).select("user_id", "event_type", "event_id")
+
+
+def confidence_needed(spark, d):
+    return _t(spark, d, "documents").groupBy(L.required_confidence(F.length("text")).alias("confidence")).agg(F.count("*").alias("n"))
+
+
 # --- streaming and iteration
 
 
@@ -354,6 +408,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         instruction_reasons, pair_reasons, example_ids, url_parts, url_safety, capture_urls, page_links, language_pairs, language_sections, warc_outcomes, exact_dedup, exact_dedup_across_runs, fuzzy_dedup, combined_dedup, pair_dedup, capped_sides, pending_ids,
         newest_meta, latest_captures, shard_documents, run_stats, domain_yield, reject_reasons, lid_histogram, length_histogram, top_domains, combined_reports, combined_reasons, combined_histogram,
         combined_domains, dataset_index, dataset_stats, token_ratio_percentiles, threshold_yields, keep_precision, task_counts, enriched_documents, splits, majority_types, mixed_selection, packed_sequences,
-        stratified_sample, interleaved_domains, event_windows, streamed_keep, frontier,
+        stratified_sample, interleaved_domains, seeded_top, index_verification, dead_letters, all_sources, prompts_of_templates, dedup_report, latest_events, first_events, confidence_needed, event_windows, streamed_keep, frontier,
     ]
     return {f.__name__: f for f in own}

@@ -221,6 +221,17 @@ def oracle_sql() -> dict[str, str]:
         "interleaved_domains": """
             WITH r AS (SELECT doc_id, domain, row_number() OVER (PARTITION BY domain ORDER BY doc_id) AS i, min(doc_id) OVER (PARTITION BY domain) AS f FROM documents WHERE domain IS NOT NULL)
             SELECT doc_id, domain, i::INT AS turn FROM r WHERE i <= 5 ORDER BY i, f LIMIT 300""",
+        "seeded_top": f"SELECT doc_id, sha256('{SEED}:' || doc_id) AS place FROM documents ORDER BY place LIMIT 100",
+        "index_verification": f"""
+            WITH i AS (SELECT 'corpus/v1/' || source || '/shards/run_id=' || run_id || '/' || filename AS s3_key, ('0x' || substr(sha256(filename), 1, 6))::BIGINT AS x FROM ({_INDEX}) WHERE source IN {_PRETRAIN})
+            SELECT s3_key, CASE WHEN x % 7 = 0 THEN 'missing' ELSE 'size_mismatch' END AS state FROM i WHERE x % 7 = 0 OR x % 5 = 0""",
+        "dead_letters": "SELECT channel, error AS reason, NOT regexp_matches(error, '^http_4|content_type') AS retryable, count(DISTINCT capture_id) AS n FROM page_fetches WHERE NOT ok GROUP BY ALL",
+        "all_sources": "SELECT source, count(*) AS n, coalesce(sum(length(text)), 0)::BIGINT AS chars FROM (SELECT source, text FROM wet_records UNION ALL SELECT source, text FROM extracted_docs UNION ALL SELECT source, text FROM documents) GROUP BY 1",
+        "prompts_of_templates": "SELECT '[' || lang || '] ' || subject || '?' AS prompt, subject FROM (SELECT DISTINCT lang FROM subject_reference), (SELECT DISTINCT subject FROM subject_reference)",
+        "dedup_report": "SELECT source, count(*) AS total, count(*) FILTER (i = 1) AS kept, count(*) FILTER (i > 1) AS exact FROM (SELECT source, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS i FROM documents WHERE text IS NOT NULL) GROUP BY 1",
+        "latest_events": "SELECT user_id, ts, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS i FROM events) WHERE i = 1",
+        "first_events": "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS i FROM events) WHERE i = 1",
+        "confidence_needed": "SELECT CASE WHEN length(text) < 300 THEN 0.95 WHEN length(text) < 500 THEN 0.9 WHEN length(text) < 1000 THEN 0.85 ELSE 0.7 END::DOUBLE AS confidence, count(*) AS n FROM documents GROUP BY 1",
         "event_windows": "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, sum(value::DECIMAL(18, 4)) AS value FROM events GROUP BY ALL",
         "streamed_keep": f"SELECT min(doc_id) AS doc_id, sha256(text) AS sha256 FROM ({_decided()}) WHERE keep2 GROUP BY 2",
     }
