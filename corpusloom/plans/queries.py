@@ -387,7 +387,7 @@ def streamed_keep(spark, d):
     w = _t(spark, d, "wet_records")
     folder = f"{shared_folder(spark).rstrip('/')}/corpusloom/stream-{uuid.uuid4().hex}"
     S.ingest(spark, f"{d}/wet_records.parquet*", w.schema, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{folder}/out/kept").select("doc_id", "sha256")
+    return S.read_kept(spark, f"{folder}/out", w.schema).select("doc_id", "sha256")
 
 
 def frontier(spark, d):

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import hashing as H
 from ..operators.dedup import keep_first, new_records
@@ -21,20 +23,26 @@ def ingest(spark: SparkSession, folder: str, schema, out: str, checkpoint: str,
         s = df.sparkSession
         decided = decide_keep(df, profile).withColumn("sha256", H.text_hash(F.col("text")))
         try:
-            seen = s.read.parquet(f"{out}/hashes").where(F.col("epoch") != epoch).select("sha256")
-        except Exception:  # the first batch
+            seen = s.read.schema("sha256 string, epoch bigint").parquet(f"{out}/hashes").where(F.col("epoch") != epoch).select("sha256")
+        except AnalysisException:  # the first batch
             seen = s.createDataFrame([], "sha256 string")
-        kept = new_records(keep_first(decided.where(F.col("keep")), F.col("sha256"), F.col("doc_id")), seen).withColumn("epoch", F.lit(epoch))
+        kept = new_records(keep_first(decided.where(F.col("keep")), F.col("sha256"), F.col("doc_id")), seen).withColumn("epoch", F.lit(epoch).cast("bigint"))
         write = lambda d, to: d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(f"{out}/{to}")
         write(kept, "kept")
-        write(decided.where(~F.col("keep")).withColumn("epoch", F.lit(epoch)), "rejected")
+        write(decided.where(~F.col("keep")).withColumn("epoch", F.lit(epoch).cast("bigint")), "rejected")
         # the hashes come last: a batch counts as done with them
-        write(s.read.parquet(f"{out}/kept").where(F.col("epoch") == epoch).select("sha256", "epoch"), "hashes")
+        write(read_kept(s, out, df.schema).where(F.col("epoch") == epoch).select("sha256", "epoch"), "hashes")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def read_kept(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
+    """What :func:`ingest` kept of records of ``schema``, with ``sha256`` and ``epoch``; no rows if it kept none."""
+    kept = StructType([f for f in schema.fields if f.name not in ("reason", "keep")]).add("reason", "string").add("keep", "boolean").add("sha256", "string").add("epoch", "long")
+    return spark.read.schema(kept).parquet(f"{out}/kept")
+
+
 def event_counts(events: DataFrame, late: str = "10 minutes", width: str = "1 hour") -> DataFrame:
     """Events and values per window and type; the same on a stream and on a table."""
     e = events.withWatermark("ts", late) if events.isStreaming else events
