@@ -391,15 +391,12 @@ def streamed_keep(spark, d):
 
 
 def frontier(spark, d):
-    pages = _t(spark, d, "extracted_docs").where(F.col("url").isNotNull()).select(U.normalize_absolute(F.col("url")).alias("url"), "doc_id").dropDuplicates(["url"])
-    # a page links to the next two of its site
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(U.domain(F.col("url"))).orderBy("url")
-    near = pages.select("url", F.lead("url", 1).over(w).alias("a"), F.lead("url", 2).over(w).alias("b"))
-    links = stage(near.select("url", F.explode(F.array("a", "b")).alias("target")).where(F.col("target").isNotNull()), "links")
-    seeds = links.groupBy(U.domain(F.col("url"))).agg(F.min("url").alias("url")).select("url")
-    return S.crawl(links, seeds, links.select(U.domain(F.col("url")).alias("domain")))
+    """All pages from the first of each site, over links that stand in for theirs: each page links to two of its site, so levels grow with the logarithm of the largest site."""
+    urls = _t(spark, d, "extracted_docs").select(U.normalize_absolute(F.col("url")).alias("url")).where(F.col("url").isNotNull()).distinct()
+    pages = stage(D.ranked(urls.withColumn("domain", U.domain(F.col("url"))), ["domain"], F.col("url")).select("domain", "url", "rank"), "pages")
+    from_ = pages.select("domain", F.col("url").alias("source"), F.col("rank").alias("parent"))
+    links = pages.where(F.col("rank") > 0).withColumn("parent", F.floor((F.col("rank") - 1) / 2)).join(from_, ["domain", "parent"]).select(F.col("source").alias("url"), F.col("url").alias("target"))
+    return S.crawl(links, pages.where(F.col("rank") == 0).select("url"), pages.select("domain"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -49,25 +49,47 @@ def event_counts(events: DataFrame, late: str = "10 minutes", width: str = "1 ho
     return e.groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("value")).select(F.col("w.start").alias("window_start"), "event_type", "n", "value")
 
 
-def crawl(links: DataFrame, seeds: DataFrame, allowed: DataFrame, most_depth: int = 3, most_per_domain: int = 100) -> DataFrame:
+#: Levels after which the visited URLs are written as one table, so that plans stay small on deep graphs.
+COMPACT_LEVELS = 10
+
+
+def crawl(links: DataFrame, seeds: DataFrame, allowed: DataFrame, most_pages: int | None = None, most_per_domain: int | None = None) -> DataFrame:
     """``url, depth``: breadth-first frontier over known links (``url, target``) from ``seeds`` (``url``) within ``allowed`` domains (``domain``).
 
-    A URL is visited once, at its least depth; of each domain at most ``most_per_domain`` a level, in the order of their names.  Every level is a written table.
+    A URL is visited once, at its least depth; levels follow each other until one is empty.  ``most_per_domain`` and ``most_pages`` bound the pages of
+    a domain and of the whole crawl, not of a level; None is no bound.  Where a bound cuts a level, a domain's URLs go in the order of their names and
+    domains take turns.  A domain stays full, so what its bound cuts is never visited.  Every level is a written table.
     """
     from ..functions import urls as U
     from ..session import stage
 
-    start = seeds.select(U.normalize_absolute(F.col("url")).alias("url")).where(F.col("url").isNotNull()).distinct()
-    visited = stage(start.withColumn("depth", F.lit(0)), "frontier")
-    front = visited
-    for depth in range(1, most_depth + 1):
-        found = links.join(front.select("url"), "url", "left_semi").select(U.normalize_absolute(F.col("target")).alias("url")).where(F.col("url").isNotNull()).distinct()
-        found = found.withColumn("domain", U.domain(F.col("url"))).join(allowed.select("domain").distinct(), "domain", "left_semi").join(visited.select("url"), "url", "left_anti")
-        from pyspark.sql import Window
-
-        w = Window.partitionBy("domain").orderBy("url")
-        front = stage(found.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most_per_domain).select("url", F.lit(depth).alias("depth")), "frontier")
-        if not front.limit(1).count():
-            break
-        visited = visited.unionByName(front)
-    return visited
+    domains = allowed.select("domain").distinct()
+
+    def inside(df: DataFrame) -> DataFrame:
+        return df.where(F.col("url").isNotNull()).withColumn("domain", U.domain(F.col("url"))).join(domains, "domain", "left_semi").distinct()
+
+    known = links.select(U.normalize_absolute(F.col("url")).alias("source"), U.normalize_absolute(F.col("target")).alias("url")).where(F.col("source").isNotNull())
+    known = stage(inside(known), "frontier-links")
+    found = inside(seeds.select(U.normalize_absolute(F.col("url")).alias("url")))
+    visited, depth, pages = None, 0, 0
+    while True:
+        bounds = [n for n in (most_per_domain, None if most_pages is None else most_pages - pages) if n is not None]
+        if bounds:
+            w = Window.partitionBy("domain").orderBy("url")
+            found = found.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= min(bounds))
+            if most_per_domain is not None and visited is not None:
+                used = visited.groupBy("domain").agg(F.count("*").alias("_used"))
+                found = found.join(used, "domain", "left").where(F.col("_n") <= most_per_domain - F.coalesce("_used", F.lit(0)))
+            if most_pages is not None:
+                found = found.orderBy("_n", "domain").limit(most_pages - pages)
+        front = stage(found.select("url", "domain", F.lit(depth).alias("depth")), "frontier")
+        visited = front if visited is None else visited.unionByName(front)
+        new = front.count()
+        pages += new
+        if not new or pages == most_pages:
+            return visited.select("url", "depth")
+        depth += 1
+        if depth % COMPACT_LEVELS == 0:
+            visited = stage(visited, "frontier-visited")
+        next_ = known.join(front.select(F.col("url").alias("source")), "source", "left_semi").select("url", "domain").distinct()
+        found = next_.join(visited.select("url"), "url", "left_anti")
