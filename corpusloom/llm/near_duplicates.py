@@ -262,23 +262,32 @@ def id_pairs(pairs: DataFrame, of: DataFrame) -> DataFrame:
 def components(pairs: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``class, grp`` of every class in a pair: the least class it is linked to over any number of links.
 
-    Labels spread along the links and are then shortened (the label of one's label), so rounds grow with the logarithm of the longest
-    chain; every round is a written table and only its number of changes reaches the driver.
+    A round moves every class to the neighbour (or itself) that is first in an order drawn anew for the round, and the links with it, until no
+    link is left.  That joins linked classes only and takes about half of the classes away, so rounds grow with the logarithm of the largest
+    group, chains included, and links shrink from round to round.  Every round is a written table and only its number of links reaches the driver.
     """
-    links = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    links = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).where(F.col("a") != F.col("b")).distinct()
     links = stage(links, "p3-links")
-    labels = links.groupBy(F.col("a").alias("class")).agg(F.min("b").alias("m")).select("class", F.least("class", "m").alias("grp"))
-    for _ in range(most_rounds):
-        labels = stage(labels, "p3-labels")
-        near = links.join(labels.select(F.col("class").alias("b"), "grp"), "b").groupBy(F.col("a").alias("class")).agg(F.min("grp").alias("g"))
-        new = labels.join(near, "class").select("class", F.col("grp").alias("old"), F.least("grp", "g").alias("grp"))
-        far = labels.select(F.col("class").alias("grp"), F.col("grp").alias("far"))
-        new = stage(new.join(far, "grp", "left").select("class", "old", F.least("grp", F.coalesce("far", "grp")).alias("grp")), "p3-new")
-        changed = new.where(F.col("old") != F.col("grp")).limit(1).count()
-        labels = new.select("class", "grp")
-        if not changed:
-            break
-    return labels
+    moves = []
+    while links.limit(1).count():
+        if len(moves) == most_rounds:
+            raise RuntimeError(f"more than {most_rounds} rounds; raise most_rounds")
+        drawn = lambda c: F.struct(F.xxhash64(c, F.lit(len(moves))).alias("h"), F.col(c).alias("to"))  # noqa: B023, E731
+        move = links.groupBy("a").agg(F.min(drawn("b")).alias("m")).select(F.col("a").alias("class"), F.least("m", drawn("a"))["to"].alias("to"))
+        move = stage(move, "p3-moves")
+        moves.append(move)
+        for c in ("a", "b"):
+            links = links.join(move.select(F.col("class").alias(c), F.col("to").alias(f"{c}_to")), c)
+        links = stage(links.select(F.col("a_to").alias("a"), F.col("b_to").alias("b")).where(F.col("a") != F.col("b")).distinct(), "p3-links")
+    if not moves:
+        return links.select(F.col("a").alias("class"), F.col("b").alias("grp"))
+    # from the last round back: where a class ends is where the one it moved to ends
+    ends = moves.pop()
+    while moves:
+        later = ends.select(F.col("class").alias("to"), F.col("to").alias("end"))
+        ends = stage(moves.pop().join(later, "to", "left").select("class", F.coalesce("end", "to").alias("to")), "p3-ends")
+    least = ends.groupBy("to").agg(F.min("class").alias("grp"))
+    return ends.join(least, "to").select("class", "grp")
 
 
 def groups(pairs: DataFrame, of: DataFrame) -> DataFrame:
