@@ -5,9 +5,9 @@ subtrees around it, tokens of attributes, depth, statistics of its siblings, its
 decoding then labels the tree as a whole: an element is kept, dropped or mixed, and below a kept or dropped one nothing may say
 otherwise.
 
-No page comes labelled, so the trees learn from a bounded sample of pages whose labels follow from what only a whole sample shows:
-text that recurs on other pages of the sample is frame, the page's title names the headline, and the element around the headline holds
-the article.
+No page comes labelled, so the trees learn from a bounded sample of pages whose labels follow from what only all pages show: text that
+recurs on other pages, of all captures, is frame, the page's title names the headline, and the element around the headline holds the
+article.
 """
 
 from __future__ import annotations
@@ -326,15 +326,57 @@ def _token_odds(good: Counter, bad: Counter, least: int) -> dict:
     return {t: float(np.clip(np.log(((good[t] + 0.5) / a) / ((bad[t] + 0.5) / b)), -3, 3)) for t in {*good, *bad} if good[t] + bad[t] >= least}
 
 
+def _views(texts: list[str]) -> list[View]:
+    return [view(parse(t)) for t in texts if t and is_html(t)]
+
+
+def _recurring(v: View) -> set[str]:
+    """The texts of a page whose recurrence on other pages is counted."""
+    return {key for i, u in enumerate(v.page.units) if not u.in_head and i != v.headline and not _cell(v, u) and len(key := letters(u.text)) >= 4}
+
+
+def _title_key(v: View) -> str:
+    return letters(v.page.title)[:40]
+
+
+def frame_texts(pages: DataFrame, views: list[View], frame_pages: int = 3) -> set[str]:
+    """Those texts of ``views`` that stand on ``frame_pages`` of all ``pages`` of different titles.
+
+    Only hashes of a text and a title are shuffled, and only of texts that stand on a page of ``views``.
+    """
+    import xxhash
+
+    named = {xxhash.xxh3_64_intdigest(k) - (1 << 63): k for k in set().union(*map(_recurring, views))}
+    shared = pages.sparkSession.sparkContext.broadcast(frozenset(named))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, told = shared.value, set()
+        for b in batches:
+            new = set()
+            for part in pieces(list(dict.fromkeys(decoded(x, k) for x, k in zip(b.column("body").to_pylist(), b.column("content_type").to_pylist())))):
+                for v in _views(part):
+                    title = xxhash.xxh3_64_intdigest(_title_key(v)) - (1 << 63)
+                    new.update((h, title) for k in _recurring(v) if (h := xxhash.xxh3_64_intdigest(k) - (1 << 63)) in wanted)
+            new -= told
+            told = (told if len(told) < 1_000_000 else set()) | new
+            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in new], pa.int64()), pa.array([t for _, t in new], pa.int64())], names=["key", "title"])
+
+    on = pages.select("content_type", "body").mapInArrow(run, "key bigint, title bigint").distinct().groupBy("key").agg(F.count("*").alias("n"))
+    return {named[r.key] for r in on.where(F.col("n") >= frame_pages).select("key").collect()}
+
+
 def fit(texts: list[str], trees: int = 40, depth: int = 4, rate: float = 0.25, frame_pages: int = 3) -> ArticleModel:
     """Fit to sample pages; a text that stands on ``frame_pages`` pages of different titles is frame."""
-    views = [view(parse(t)) for t in texts if t and is_html(t)]
+    views = _views(texts)
     on: dict[str, set] = defaultdict(set)
     for v in views:
-        for i, u in enumerate(v.page.units):
-            if not u.in_head and i != v.headline and not _cell(v, u) and len(key := letters(u.text)) >= 4:
-                on[key].add(letters(v.page.title)[:40])
-    frame = {k for k, s in on.items() if len(s) >= frame_pages}
+        for key in _recurring(v):
+            on[key].add(_title_key(v))
+    return fit_views(views, {k for k, s in on.items() if len(s) >= frame_pages}, trees, depth, rate)
+
+
+def fit_views(views: list[View], frame: set[str], trees: int = 40, depth: int = 4, rate: float = 0.25) -> ArticleModel:
+    """Fit to sample pages; ``frame`` holds their texts that are frame."""
     labels = [weak_labels(v, frame) for v in views]
     good_n, bad_n, good_w, bad_w = Counter(), Counter(), Counter(), Counter()
     for v, y in zip(views, labels):
@@ -366,9 +408,10 @@ def captures(warc: DataFrame, fetches: DataFrame) -> DataFrame:
 
 
 def fit_to(pages: DataFrame, most_pages: int = 2000) -> ArticleModel:
-    """Fit to the ``most_pages`` captures with the least hash of their id."""
+    """Fit to the ``most_pages`` captures with the least hash of their id; what is frame on them is counted over all captures."""
     sample = hash_sample(pages, "capture_id", most_pages).select("body", "content_type").collect()
-    return fit([decoded(bytes(r.body), r.content_type) for r in sample])
+    views = _views([decoded(bytes(r.body), r.content_type) for r in sample])
+    return fit_views(views, frame_texts(pages, views))
 
 
 def article_pieces(pages: DataFrame, model: ArticleModel) -> DataFrame:
