@@ -94,6 +94,10 @@ def instruction_reasons(spark, d):
 
 
 def pair_reasons(spark, d):
+    """Reasons over stand-ins for language pairs: each WET page against the first extracted document (by ``doc_id``) of its domain, whatever its language.
+
+    The other extracted documents take no part, so the counts tell of the reasons, not of all pages that have a counterpart; the SQL pairs the same way.
+    """
     w = _t(spark, d, "wet_records").where(F.col("url").isNotNull()).select("url", "text", "lang", "lid_score")
     rw = D.keep_first(w, F.col("url"), F.col("text"), F.col("lang"))
     e = D.keep_first(_t(spark, d, "extracted_docs").where(F.col("url").isNotNull()), U.domain(F.col("url")), F.col("doc_id"), F.col("fetched_at"))
