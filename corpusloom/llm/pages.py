@@ -76,7 +76,7 @@ def decoded(body: bytes | None, content_type: str | None = None) -> str:
 
 
 def is_html(text: str) -> bool:
-    return bool(re.search(r"<\s*(?:!doctype\s+html|html|head|body|div|p|table|title)\b", text[:3000], re.I))
+    return bool(re.search(r"<\s*(?:!doctype\s+html|html|head|body|div|p|table|title)\b", text, re.I))
 
 
 def plain(text: str) -> str:
