@@ -104,16 +104,24 @@ def test_pairs(spark):
     eng = next(t for a, t in ref if a == "eng_Latn" and t.endswith(".") and len(t) > 150)
     swh = next(t for a, t in ref if a == "swh_Latn" and t.endswith("."))
     q = "Tell me about the harvest and the people as if I were 12 years old."
-    assert model.defects(q, eng, "qa") == []
+
+    def defects(prompt, response, task):
+        return model.defects([prompt, None], [response, "x"], [task, None])[0]
+
+    assert defects(q, eng, "qa") == []
     for empty in (None, "", " \n", "&nbsp;", "<p></p>", "N/A", "...", "​"):
-        assert model.defects(q, empty, "qa") == ["empty"]
-    assert model.defects(q, q.upper(), "qa") == ["copies_prompt"] and model.defects(q, f"{q}\n{q}", "qa") == ["copies_prompt"]
-    assert model.defects(q, swh, "qa") == ["wrong_language"]
-    assert model.defects("Translate this sentence into Swahili: " + eng, swh, "translate") == []
-    assert "truncated" in model.defects(q, eng[: eng.rindex(" ", 0, 120)] + " (", "qa")
+        assert defects(q, empty, "qa") == ["empty"]
+    assert defects(q, q.upper(), "qa") == ["copies_prompt"] and defects(q, f"{q}\n{q}", "qa") == ["copies_prompt"]
+    assert defects(q, swh, "qa") == ["wrong_language"]
+    assert defects("Translate this sentence into Swahili: " + eng, swh, "translate") == []
+    # the language may be named after the text, however long that is
+    assert defects(f"{eng} {eng}\nTranslate this text into Swahili.", swh, "translate") == []
+    assert defects(f"{eng} {eng}\nTranslate this text into Swahili.", swh, None) == []
+    assert "truncated" in defects(q, eng[: eng.rindex(" ", 0, 120)] + " (", "qa")
+    assert "truncated" in defects(q, f"{eng} " * 40 + eng[: eng.rindex(" ", 0, 120)] + " (", "qa") and defects(q, f"{eng} " * 40 + eng, "qa") == []
     refusal = "Sorry, I can't help with that and I hope you understand."
-    assert model.defects(q, refusal, "qa") == ["refusal"] and model.defects(q, refusal, "safety") == []
-    assert isinstance(model.defects(None, eng, None), list)
+    assert defects(q, refusal, "qa") == ["refusal"] and defects(q, refusal, "safety") == []
+    assert isinstance(defects(None, eng, None), list) and model.defects([], [], []) == []
     rows = spark.createDataFrame([("1", q, None, "qa", "x"), ("1", q, None, "qa", "x"), (None, q, "", "qa", "x"), ("2", q, eng, None, "x")], "id string, prompt string, response string, task_type string, defect string")
     assert [(r.id, r.defect) for r in pairs.pair_defects(rows, model).collect()] == [("1", "empty")]
 
