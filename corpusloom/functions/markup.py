@@ -6,17 +6,21 @@ import html
 import io
 import re
 import zipfile
-from urllib.parse import urljoin, urlparse
+from urllib.parse import urljoin, urlsplit
 from urllib.robotparser import RobotFileParser
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, StringType, StructType
 
-from .urls import _normalized
+from . import text as T
+from .urls import resolved
 
 _START = re.compile(r"<(a|link)\b((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.I)
+#: What isn't markup though it may look like it.
+_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^<>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 
 
@@ -26,6 +30,7 @@ def _bytes(b) -> str:
 
 def _elements(page: str):
     """``(tag, attributes, text up to the next end of a link)`` of links and head links, in order."""
+    page = _HIDDEN.sub(" ", page)
     for m in _START.finditer(page):
         attrs = {a[1].lower(): html.unescape(a[2] or a[3] or a[4] or "") for a in _ATTRIBUTE.finditer(m[2])}
         end = page.find("</", m.end())
@@ -34,7 +39,7 @@ def _elements(page: str):
 
 def links_of(page: str, base: str) -> list[str]:
     """Targets of the page's links in order, resolved; repeated ones stay."""
-    found = (_normalized(a.get("href"), base) for tag, a, _ in _elements(page) if tag == "a")
+    found = (resolved(a.get("href"), base) for tag, a, _ in _elements(page) if tag == "a")
     return [u for u in found if u]
 
 
@@ -48,6 +53,13 @@ def extract_links(content: pd.Series, url: pd.Series) -> pd.Series:
 RW_PATHS = ("/rw/", "/rw-rw/", "/kin/")
 EN_PATHS = ("/en/", "/en-us/", "/en-gb/", "/eng/")
 QUERY_PAIRS = (("lang=rw", "lang=en"), ("language=rw", "language=en"))
+#: Part of a URL, what holds it, the other language's part, whether that is the English side, how sure it is.
+_SWAPS = [
+    (part, where, other, to_english, sure)
+    for where, sure, pairs in (("path", 0.50, tuple(zip(RW_PATHS, EN_PATHS))), ("query", 0.40, QUERY_PAIRS))
+    for rw, en in pairs
+    for part, other, to_english in ((rw, en, True), (en, rw, False))
+]
 _RW_NAME = re.compile(r"\b(kinyarwanda|ikinyarwanda)\b", re.I)
 _EN_NAME = re.compile(r"\b(english|icyongereza)\b", re.I)
 _PAIR = StructType().add("url_rw", StringType()).add("url_en", StringType()).add("confidence", DoubleType()).add("method", StringType())
@@ -69,13 +81,11 @@ def page_pair(page: str, url: str) -> tuple | None:
         return urljoin(url, first), urljoin(url, second), 0.95, "hreflang"
     if rw and en:
         return urljoin(url, rw), urljoin(url, en), 0.70, "toggle"
-    p = urlparse(url)
-    for pairs, part, sure in ((zip(RW_PATHS, EN_PATHS), p.path.lower(), 0.50), (QUERY_PAIRS, p.query.lower(), 0.40)):
-        for r, e in pairs:
-            if r in part:
-                return url, url.replace(r, e, 1), sure, "url_pattern"
-            if e in part:
-                return url.replace(e, r, 1), url, sure, "url_pattern"
+    low = urlsplit(url.lower())
+    for part, where, other, to_english, sure in _SWAPS:
+        if part in getattr(low, where):
+            twin = url.replace(part, other, 1)
+            return *((url, twin) if to_english else (twin, url)), sure, "url_pattern"
     return None
 
 
@@ -188,38 +198,35 @@ def office_text(s: pd.Series) -> pd.Series:
     return pd.Series([office_plain(x) for x in s], dtype=object)
 
 
-@F.pandas_udf(BooleanType())
-def robots_allow(url: pd.Series, robots: pd.Series, status: pd.Series) -> pd.Series:
-    """Whether a site's robots file, fetched with ``status``, lets a crawler read the URL: 401 and 403 deny all, other errors and no answer allow all."""
-    parsed: dict = {}
-    out = []
-    for u, text, code in zip(url, robots, status):
-        if code in (401, 403):
-            out.append(False)
-        elif pd.isna(code) or code >= 400 or text is None:
-            out.append(True)
-        else:
-            if text not in parsed:
-                parsed[text] = RobotFileParser()
-                parsed[text].parse(text.splitlines())
-            out.append(bool(u) and parsed[text].can_fetch("*", u))
-    return pd.Series(out)
+def robots_allow(url: Column, robots: Column, status: Column, agent: str = "*") -> Column:
+    """Whether a site's robots file, fetched with ``status``, lets ``agent`` read the URL: 401 and 403 deny all, other errors and no answer allow all."""
 
+    @F.pandas_udf(BooleanType())
+    def allowed(u: pd.Series, text: pd.Series) -> pd.Series:
+        parsed: dict = {}
+        out = []
+        for x, t in zip(u, text):
+            if t is not None and t not in parsed:
+                parsed[t] = RobotFileParser()
+                parsed[t].parse(t.splitlines())
+            out.append(t is None or (bool(x) and parsed[t].can_fetch(agent, x)))
+        return pd.Series(out)
 
-@F.pandas_udf(ArrayType(StringType()))
-def paragraph_blocks(s: pd.Series, size: pd.Series) -> pd.Series:
-    """Paragraphs joined in order until a block has ``size`` characters; blocks of fewer than 50 are left out."""
-
-    def blocks(t: str | None, n: int) -> list[str]:
-        out, now, held = [], [], 0
-        for p in re.split(r"\n\s*\n", t or ""):
-            if p.strip():
-                now.append(p.strip())
-                held += len(p.strip())
-            if held >= n:
-                out.append("\n\n".join(now))
-                now, held = [], 0
-        return [b for b in [*out, *(["\n\n".join(now)] if now else [])] if len(b) >= 50]
-
-    return pd.Series([blocks(t, n) for t, n in zip(s, size)], dtype=object)
+    told = F.when(status.isNull() | (status >= 400), F.lit(None)).otherwise(robots)
+    return ~F.coalesce(status.isin(401, 403), F.lit(False)) & allowed(url, told)
+
+
+def paragraph_blocks(text: Column, size: int = 2000, least: int = 50) -> Column:
+    """Paragraphs joined in order until a block has ``size`` characters; blocks of fewer than ``least`` are left out; null stays null."""
+    paragraphs = F.filter(F.transform(F.split(text, r"\n\s*\n"), T.strip), lambda p: p != "")
+    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("now"), F.lit(0).alias("held"))
+
+    def step(a, p):
+        now, held = F.when(a["now"] == "", p).otherwise(F.concat(a["now"], F.lit("\n\n"), p)), a["held"] + F.length(p)
+        full = held >= size
+        return F.struct(
+            F.when(full, F.concat(a["done"], F.array(now))).otherwise(a["done"]).alias("done"), F.when(full, F.lit("")).otherwise(now).alias("now"), F.when(full, F.lit(0)).otherwise(held).alias("held")
+        )
 
+    blocks = F.aggregate(paragraphs, start, step, lambda a: F.concat(a["done"], F.array(a["now"])))
+    return F.filter(blocks, lambda b: F.length(b) >= least)

@@ -17,15 +17,18 @@ WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
 #: Fixed value: characters per token of the rough estimate.
 CHARS_PER_TOKEN = 2.55
 
-_REPETITION = StructType().add("rep_2", DoubleType()).add("rep_3", DoubleType()).add("rep_4", DoubleType())
-_ZERO_WIDTH = re.compile("[​‌‍﻿]")
+#: Characters and rules that :func:`normalize_text` drops.
+_ZERO_WIDTH = re.compile("[\u200b\u200c\u200d\ufeff]")
 _CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]")
 _RULES = re.compile(r"(\n[ \t]*[-=*_]{3,}[ \t]*){3,}")
 
+_REPETITION = StructType().add("rep_2", DoubleType()).add("rep_3", DoubleType()).add("rep_4", DoubleType())
+
 
 def _normalized(t: str) -> str:
-    t = unicodedata.normalize("NFKC", t)
-    t = _CONTROL.sub("", _ZERO_WIDTH.sub("", t))
+    if not t.isascii():
+        t = _ZERO_WIDTH.sub("", unicodedata.normalize("NFKC", t))
+    t = _CONTROL.sub("", t)
     t = html.unescape(t) if "&" in t else t
     t = t.replace("\r\n", "\n").replace("\r", "\n")
     t = re.sub(r"([!?])\1+", r"\1", t)
@@ -145,6 +148,23 @@ def ngram_repetitions(s: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["rep_2", "rep_3", "rep_4"], dtype=float)
 
 
+@F.pandas_udf(StructType().add("text", StringType()).add("rep_2", DoubleType()).add("rep_3", DoubleType()).add("rep_4", DoubleType()))
+def normalized_with_repetition(s: pd.Series, undecided: pd.Series, least: pd.Series) -> pd.DataFrame:
+    """:func:`normalize_text`, and :func:`ngram_repetitions` of the result where the row is ``undecided`` and has ``least`` characters, else null.
+
+    One trip to Python for both, and the costly half of it only for the rows that need it.
+    """
+    rows = []
+    for t, open_, n in zip(s, undecided, least):
+        t = None if t is None else _normalized(t)
+        if t is None or not open_ or len(t) < n:
+            rows.append((t, None, None, None))
+            continue
+        w = t.split()
+        rows.append((t, 0.0, 0.0, 0.0) if len(w) < 10 else (t, *(_ngram_ratio(w, n) for n in (2, 3, 4))))
+    return pd.DataFrame(rows, columns=["text", "rep_2", "rep_3", "rep_4"]).astype({c: float for c in ("rep_2", "rep_3", "rep_4")})
+
+
 def excessive_repeats(text: Column, most: float = 0.5) -> Column:
     """Whether more than ``most`` of the lines of ten characters or more repeat another; needs three such lines."""
     long = F.filter(F.split(text, "\n"), lambda x: F.length(x) >= 10)

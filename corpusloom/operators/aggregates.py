@@ -34,10 +34,10 @@ def ratio(a: Column, b: Column, digits: int = 4) -> Column:
     return half_even(F.coalesce(F.try_divide(a, b), F.lit(0.0)), digits)
 
 
-def run_stats(decided: DataFrame, *group: str) -> DataFrame:
-    """Per group (or over all): seen, kept, characters kept, keep ratio, mean length, estimated tokens."""
+def run_stats(decided: DataFrame, *group: str, text: str = "text") -> DataFrame:
+    """Per group (or over all): seen, kept, characters of ``text`` kept, keep ratio, mean length, estimated tokens."""
     kept = F.col("keep")
-    chars = F.sum(F.when(kept, F.length("text")).otherwise(0))
+    chars = F.sum(F.when(kept, F.length(text)).otherwise(0))
     out = decided.groupBy(*group).agg(F.count("*").alias("docs_seen"), F.count_if(kept).alias("docs_kept"), F.coalesce(chars, F.lit(0)).alias("chars_kept"))
     return out.select(
         *group, "docs_seen", "docs_kept", "chars_kept", ratio(F.col("docs_kept"), F.col("docs_seen")).alias("keep_ratio"), ratio(F.col("chars_kept"), F.col("docs_kept"), 1).alias("avg_chars_kept"),
@@ -55,6 +55,14 @@ def top(df: DataFrame, key: str, k: int) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).orderBy(F.desc("n"), key).limit(k)
 
 
+def first_of_each(df: DataFrame, group: list[str], k: int, *order: Column) -> DataFrame:
+    """The first ``k`` rows of each group (by default those with most ``docs``, ties by ``domain``); groups are cut before the shuffle."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(*group).orderBy(*(order or (F.desc("docs"), F.col("domain"))))
+    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k).drop("_n")
+
+
 def combine_reports(reports: DataFrame) -> DataFrame:
     """One row over all reports: sums, mean characters weighted by kept documents, distinct configurations."""
     w = F.sum(F.col("avg_doc_chars_kept") * F.col("docs_kept"))

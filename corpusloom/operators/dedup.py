@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing as H
+from ..functions import text as T
 from ..session import stage
 
 
@@ -100,29 +101,59 @@ def _bands_of(k: int, permutations: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        u64 = np.uint64
         rng = np.random.default_rng(1)
-        mult = rng.integers(0, 1 << 62, permutations, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        plus = rng.integers(0, 1 << 63, permutations, dtype=np.uint64)
-        weight = rng.integers(0, 1 << 62, rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        mult, plus = rng.integers(0, 1 << 62, permutations, dtype=u64) * u64(2) + u64(1), rng.integers(0, 1 << 63, permutations, dtype=u64)
+        weight = rng.integers(0, 1 << 62, rows, dtype=u64) * u64(2) + u64(1)
+        step = rng.integers(0, 1 << 62, k, dtype=u64) * u64(2) + u64(1)
+        place: dict[str, int] = {}
+        hashes: list[int] = []
         for b in batches:
-            out = []
-            for t in b.column("text").to_pylist():
-                w = (t or "").lower().split()
-                s = {" ".join(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
-                if not s:
-                    out.append([])
-                    continue
-                h = np.array([xxhash.xxh3_64_intdigest(x) for x in s], np.uint64)
-                low = np.full(permutations, np.iinfo(np.uint64).max, np.uint64)
-                for part in np.array_split(h, max(1, len(h) // 4096)):
-                    low = np.minimum(low, ((part[:, None] * mult + plus) >> np.uint64(20)).min(0))
-                m = low[: bands * rows].reshape(bands, rows)
-                out.append(((m * weight).sum(1, dtype=np.uint64) ^ (np.arange(bands, dtype=np.uint64) << np.uint64(56))).view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("rank"), pa.array(out, pa.list_(pa.int64()))], names=["id", "rank", "bands"])
+            texts = b.column("text").to_pylist()
+            if len(hashes) > 1_000_000:  # the words a worker remembers; their hashes stay the same
+                place, hashes = {}, []
+            ids, ends = [], []
+            for t in texts:
+                for w in (t or "").lower().split():
+                    if w not in place:
+                        place[w] = len(hashes)
+                        hashes.append(xxhash.xxh3_64_intdigest(w))
+                    ids.append(place[w])
+                ends.append(len(ids))
+            size = np.diff(ends, prepend=0)
+            # texts of fewer than k words are one shingle: they are filled up with an empty word
+            need = np.maximum(size, np.where(size > 0, k, 0))
+            to = np.cumsum(need)
+            h = np.zeros(int(to[-1]) if len(to) else 0, u64)
+            row = np.repeat(np.arange(len(texts)), size)
+            h[np.arange(len(ids)) + (to - need - (np.array(ends) - size))[row]] = np.array(hashes, u64)[np.array(ids, np.int64)]
+            row = np.repeat(np.arange(len(texts)), need)
+            n = len(h) - k + 1
+            signed: list = [[]] * len(texts)
+            if n > 0:
+                s = sum((h[j : n + j] * step[j] for j in range(k)), np.zeros(n, u64))
+                inside = row[:n] == row[k - 1 :]
+                s, row = s[inside], row[:n][inside]
+                s = (s ^ (s >> u64(31))) * u64(0x9E3779B97F4A7C15)
+                s ^= s >> u64(29)
+                start = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+                low = np.stack([np.minimum.reduceat((s * m + p) >> u64(20), start) for m, p in zip(mult[: bands * rows], plus)], 1)
+                keys = (low.reshape(len(start), bands, rows) * weight).sum(2, dtype=u64) ^ (np.arange(bands, dtype=u64) << u64(56))
+                for i, key in zip(row[start].tolist(), keys.view(np.int64).tolist()):
+                    signed[i] = key
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("rank"), pa.array(signed, pa.list_(pa.int64()))], names=["id", "rank", "bands"])
 
     return run
 
 
+def signed_bands(df: DataFrame, id_col: str, text_col: str, order_col: str, threshold: float = 0.8, permutations: int = 128, k: int = 5) -> DataFrame:
+    """``id, rank, bands``: the band keys of each text's MinHash signature, none for a text without words; null ids are left out."""
+    bands, rows = best_bands(threshold, permutations)
+    kind, rank = dict(df.dtypes)[id_col], dict(df.dtypes)[order_col]
+    cols = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(order_col).alias("rank"), F.col(text_col).alias("text"))
+    return cols.mapInArrow(_bands_of(k, permutations, bands, rows), f"id {kind}, rank {rank}, bands array<bigint>")
+
+
 def fuzzy_dedup(df: DataFrame, id_col: str, text_col: str, order_col: str, threshold: float = 0.8, permutations: int = 128, k: int = 5, most_rounds: int = 100) -> DataFrame:
     """``<id_col>, kept``: a record is dropped if it shares a band of its MinHash signature with an earlier record that is kept.
 
@@ -131,10 +162,8 @@ def fuzzy_dedup(df: DataFrame, id_col: str, text_col: str, order_col: str, thres
     emits no pairs, so a bucket that holds a third of all rows costs a partial aggregation.  Rounds grow with the longest chain of records that
     wait for each other.  ``order_col`` must be unique; records without words are kept; null ids are left out.
     """
-    bands, rows = best_bands(threshold, permutations)
-    kind, rank = dict(df.dtypes)[id_col], dict(df.dtypes)[order_col]
-    cols = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(order_col).alias("rank"), F.col(text_col).alias("text"))
-    signed = stage(cols.mapInArrow(_bands_of(k, permutations, bands, rows), f"id {kind}, rank {rank}, bands array<bigint>"), "fuzzy")
+    rank = dict(df.dtypes)[order_col]
+    signed = stage(signed_bands(df, id_col, text_col, order_col, threshold, permutations, k), "fuzzy")
     open_ = signed.where(F.size("bands") > 0).select("id", "rank", F.explode("bands").alias("bucket"))
     # buckets of one record decide nothing
     shared = open_.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("bucket")
@@ -178,7 +207,7 @@ def combined_dedup(df: DataFrame, id_col: str, text_col: str, order_col: str, se
 
 
 def pair_dedup(df: DataFrame, left: Column, right: Column, *order: Column) -> DataFrame:
-    """Adds ``pair_hash, duplicate``: a pair of texts that came before in this order."""
+    """Adds ``pair_hash, duplicate``: a pair of texts, taken as they are, that came before in this order."""
     return first_wins(df.withColumn("pair_hash", H.joined_hash(left, right)), F.col("pair_hash"), *order)
 
 
@@ -213,6 +242,21 @@ def capped_sides(df: DataFrame, left: str, right: str, order_col: str, most: int
     return df.join(accepted.select(F.col("_o").alias(order_col)).withColumn("accepted", F.lit(True)), order_col, "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
 
 
-def latest_capture(df: DataFrame, url: str = "url", timestamp: str = "capture_ts") -> DataFrame:
-    """The greatest timestamp of each URL, compared as text."""
-    return keep_last(df, url, timestamp)
+def parallel_dedup(df: DataFrame, left: str, right: str, order_col: str, most: int = 5) -> DataFrame:
+    """Adds ``pair_hash, reason``: ``reject.duplicate`` for a pair that came before, or a side accepted ``most`` times before; else ``ok``.
+
+    Pairs and sides are compared by their normalized texts.  A pair counts as seen even if a side turned it down.  ``order_col`` must be unique
+    and not null; null texts count as empty.
+    """
+    clean = lambda c: T.normalize_text(F.coalesce(F.col(c), F.lit("")))
+    hashed = df.withColumn("_ln", clean(left)).withColumn("_rn", clean(right))
+    hashed = hashed.withColumn("pair_hash", H.joined_hash(F.col("_ln"), F.col("_rn"))).withColumn("_lh", H.text_hash(F.col("_ln"))).withColumn("_rh", H.text_hash(F.col("_rn"))).drop("_ln", "_rn")
+    hashed = stage(hashed, "parallel")
+    first = first_wins(hashed.select("pair_hash", "_lh", "_rh", order_col), F.col("pair_hash"), F.col(order_col)).where(~F.col("duplicate"))
+    taken = capped_sides(first.select("_lh", "_rh", order_col), "_lh", "_rh", order_col, most).where(F.col("accepted")).select(order_col, F.lit("ok").alias("_ok"))
+    return hashed.join(taken, order_col, "left").withColumn("reason", F.coalesce("_ok", F.lit("reject.duplicate"))).drop("_lh", "_rh", "_ok")
+
+
+def latest_capture(df: DataFrame, url: str = "url", timestamp: str = "capture_ts", seen: str = "capture_id") -> DataFrame:
+    """The row of each URL with the greatest timestamp, compared as text; of equal ones the one that comes first by ``seen``."""
+    return keep_first(df, F.col(url), F.col(timestamp).desc_nulls_last(), F.col(seen).asc_nulls_last(), F.xxhash64(*df.columns))

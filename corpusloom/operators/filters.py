@@ -29,7 +29,7 @@ class FilterProfile:
     max_non_latin: float = 0.10
 
 
-#: Profiles of the other pipelines.
+#: Profiles of the other pipelines.
 BOOKS = FilterProfile(min_confidence=0.70, max_chars=1_000_000, max_ngram_2=0.50, max_ngram_3=0.40, max_ngram_4=0.35)
 INSTITUTIONS = FilterProfile(min_confidence=0.70, max_chars=500_000, max_ngram_2=0.50, max_ngram_3=0.40, max_ngram_4=0.35)
 TARGETED = FilterProfile(min_confidence=0.85)
@@ -52,7 +52,10 @@ register_filter("repetition", lambda t, p: T.repeated_line_ratio(t) > p.max_repe
 
 
 def _ngrams_repeat(t: Column, p: FilterProfile) -> Column:
-    r = T.ngram_repetitions(t)
+    return _too_repetitive(T.ngram_repetitions(t), p)
+
+
+def _too_repetitive(r: Column, p: FilterProfile) -> Column:
     return (r["rep_2"] > p.max_ngram_2) | (r["rep_3"] > p.max_ngram_3) | (r["rep_4"] > p.max_ngram_4)
 
 
@@ -72,18 +75,25 @@ def required_confidence(chars: Column) -> Column:
 
 
 def decide_keep(df: DataFrame, profile: FilterProfile = FilterProfile(), text_col: str = "text", lang_col: str = "lang", score_col: str = "lid_score") -> DataFrame:
-    """Adds ``keep, reason``: too short, wrong language, language not sure enough, else the first failed filter, else ``keep``.
+    """Adds ``keep, reason, normalized_text``: too short, wrong language, language not sure enough, else the first failed filter, else ``keep``.
+
+    Texts are normalized first and everything is judged by the normalized text, which kept rows carry on (others null).  The language comes from
+    whatever identifier filled ``lang_col`` and ``score_col``.  Null text is too short; a null label is another language, a null score 0.  Columns
+    of the three names are replaced.
 
-    The language comes from whatever identifier filled ``lang_col`` and ``score_col``.  Null text is too short; a null label is another language, a null score 0.
+    One Arrow pass normalizes all texts and counts n-grams only where length, language and the least confidence leave the row undecided.
     """
-    t = F.coalesce(F.col(text_col), F.lit(""))
-    reason = F.when(F.length(t) < profile.min_chars, "reject.too_short")
-    reason = reason.when(~F.coalesce(F.col(lang_col).isin(*profile.languages), F.lit(False)), "reject.lid.not_rw")
-    sure = F.greatest(F.lit(profile.min_confidence), required_confidence(F.length(t)))
-    reason = reason.when(F.coalesce(F.col(score_col), F.lit(0.0)) < sure, "reject.lid.low_confidence")
+    right = F.coalesce(F.col(lang_col).isin(*profile.languages), F.lit(False))
+    score = F.coalesce(F.col(score_col), F.lit(0.0))
+    out = df.withColumn("_t", T.normalized_with_repetition(F.coalesce(F.col(text_col), F.lit("")), right & (score >= profile.min_confidence), F.lit(profile.min_chars)))
+    t = F.col("_t.text")
+    reason = F.when(F.length(t) < profile.min_chars, "reject.too_short").when(~right, "reject.lid.not_rw")
+    reason = reason.when(score < F.greatest(F.lit(profile.min_confidence), required_confidence(F.length(t))), "reject.lid.low_confidence")
     for name, rejects in _FILTERS.items():
-        reason = reason.when(rejects(t, profile), f"reject.filter.{name}")
-    return df.withColumn("reason", reason.otherwise("keep")).withColumn("keep", F.col("reason") == "keep")
+        failed = _too_repetitive(F.col("_t"), profile) if rejects is _ngrams_repeat else rejects(t, profile)
+        reason = reason.when(failed, f"reject.filter.{name}")
+    out = out.withColumn("reason", reason.otherwise("keep")).withColumn("keep", F.col("reason") == "keep")
+    return out.withColumn("normalized_text", F.when(F.col("keep"), t)).drop("_t")
 
 
 def index_language(languages: Column, url: Column, lang: str, excluded_part: str = ".ru/") -> Column:

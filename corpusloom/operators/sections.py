@@ -16,7 +16,7 @@ def language_sections(df: DataFrame, id_col: str, text_col: str, identify: Calla
     ``identify`` is the language identifier: given rows with a column ``block`` it adds ``lang`` and ``score`` and keeps all other columns.  A document's
     blocks come together again in one row, as its text was before; null ids are left out.
     """
-    blocks = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.posexplode_outer(paragraph_blocks(F.col(text_col), F.lit(size))).alias("pos", "block"))
+    blocks = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.posexplode_outer(paragraph_blocks(F.col(text_col), size)).alias("pos", "block"))
     said = identify(blocks)
     kept = F.when((F.col("lang") == target) & (F.col("score") >= min_confidence) & F.col("block").isNotNull(), F.struct("pos", "block"))
     joined = said.groupBy("id").agg(F.array_sort(F.collect_list(kept)).alias("b"))

@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a scan up to which :func:`spread` may deal its rows out anew.
+SPREAD_BYTES = 1 << 30
+
 _STAGED: dict[str, SparkSession] = {}
 
 
@@ -44,23 +47,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, removed like a staged table."""
+    path = f"{shared_folder(spark).rstrip('/')}/corpusloom/{name}-{uuid.uuid4().hex}"
+    _STAGED[path] = spark
+    return path
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: cuts lineage, is columnar and survives lost executors.
 
     The table is removed when the application ends or by :func:`drop_staged`.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/corpusloom/{name}-{uuid.uuid4().hex}"
-    _STAGED[path] = spark
+    path = own_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` in at least as many partitions as there are cores: a small table in one file would keep one core busy with all parsing and scoring.
+    """``df`` in at least as many partitions as there are cores if it is a small table: one file would keep one core busy with all parsing and scoring.
 
-    Where the scan has that many splits, as any large table has, nothing changes.  Columns and filters still reach the scan.
+    A scan of more than :data:`SPREAD_BYTES` (by the files' sizes) stays as it is, so no large table is ever shuffled for this; its splits follow
+    ``spark.sql.files.maxPartitionBytes``.  Columns and filters still reach the scan.
     """
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > SPREAD_BYTES:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores else df.repartition(cores)
 
@@ -89,6 +101,7 @@ def ship_package(spark: SparkSession) -> None:
 
     package = Path(__file__).resolve().parent
     if package.suffix != ".zip" and package.parent.suffix != ".zip":
-        archive = Path(tempfile.mkdtemp(prefix="corpusloom-ship-")) / "corpusloom_pkg"
-        sc.addPyFile(shutil.make_archive(str(archive), "zip", root_dir=package.parent, base_dir=package.name))
+        folder = tempfile.mkdtemp(prefix="corpusloom-ship-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.addPyFile(shutil.make_archive(str(Path(folder) / "corpusloom_pkg"), "zip", root_dir=package.parent, base_dir=package.name))
     sc._corpusloom_shipped = True

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import gzip
-import io
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -41,22 +41,21 @@ WARC_DDL = "warc_type string, target_url string, http_status int, http_headers m
 
 
 def parse_warc_record(raw: bytes | None) -> tuple:
-    """One WARC record, gzipped or not: WARC head, HTTP head, body; the error tells what is missing."""
-    kind, url, status, headers, body = "", "", None, {}, b""
+    """One gzipped WARC record: WARC head, HTTP head, body.  A response with both heads is ``ok`` whatever its status; else the error tells what is missing."""
+    kind, url, status, headers, body = "", "", 0, {}, b""
     if not raw:
-        return kind, url, status, headers, body, False, "empty"
-    if raw[:2] == b"\x1f\x8b":
-        try:
-            raw = gzip.decompress(raw)
-        except (OSError, EOFError):
-            return kind, url, status, headers, body, False, "gzip_error"
+        return kind, url, status, headers, body, False, "decompress_failed: empty"
+    try:
+        raw = gzip.decompress(raw)
+    except (OSError, EOFError, zlib.error) as e:
+        return kind, url, status, headers, body, False, f"decompress_failed: {e}"
     head, sep, rest = raw.partition(b"\r\n\r\n")
     if not sep:
         return kind, url, status, headers, body, False, "no_warc_headers"
     fields = _headers(head)
-    kind, url = fields.get("warc-type", ""), fields.get("warc-target-uri", "").strip("<>")
+    kind, url = fields.get("warc-type", ""), fields.get("warc-target-uri", "")
     if kind != "response":
-        return kind, url, status, headers, body, False, f"not_response:{kind}"
+        return kind, url, status, headers, body, False, f"not_response: {kind}"
     http, sep, body = rest.partition(b"\r\n\r\n")
     if not sep:
         return kind, url, status, headers, b"", False, "no_http_headers"
@@ -64,7 +63,7 @@ def parse_warc_record(raw: bytes | None) -> tuple:
     bits = first.split()
     status = int(bits[1]) if len(bits) > 1 and bits[1].isdigit() else 0
     headers = _headers(lines)
-    return kind, url, status, headers, body, status == 200, "" if status == 200 else f"http_{status}"
+    return kind, url, status, headers, body, True, ""
 
 
 def _headers(block: bytes) -> dict[str, str]:
@@ -106,14 +105,16 @@ def read_wiki(spark: SparkSession, path: str) -> DataFrame:
     """``title, page_id, wikitext`` of the articles of a dump: main namespace, no redirects, title and text present."""
     x = spark.read.format("xml").option("rowTag", "page").schema("title STRING, ns INT, id BIGINT, redirect STRUCT<_title: STRING>, revision STRUCT<text: STRUCT<_VALUE: STRING>>").load(path)
     t = F.col("revision.text._VALUE")
-    return x.where((F.col("ns") == 0) & F.col("redirect").isNull() & (F.coalesce(F.trim("title"), F.lit("")) != "") & (F.coalesce(F.trim(t), F.lit("")) != "")).select("title", F.col("id").alias("page_id"), t.alias("wikitext"))
+    return x.where((F.coalesce("ns", F.lit(0)) == 0) & F.col("redirect").isNull() & (F.coalesce(F.trim("title"), F.lit("")) != "") & (F.coalesce(F.trim(t), F.lit("")) != "")).select("title", F.col("id").alias("page_id"), t.alias("wikitext"))
 
 
 def columnar_index(spark: SparkSession, path: str, lang: str, condition: Column | None = None) -> DataFrame:
-    """Rows of a columnar crawl index whose first language is ``lang``; five columns and the condition reach the scan, nulls become empty."""
+    """Rows of a columnar crawl index whose first language is ``lang``; a further ``condition`` narrows them; five columns and both conditions reach the scan, nulls become empty."""
     from ..operators.filters import index_language
 
-    d = spark.read.parquet(path).where(index_language(F.col("content_languages"), F.col("url"), lang) if condition is None else condition)
+    d = spark.read.parquet(path).where(index_language(F.col("content_languages"), F.col("url"), lang))
+    if condition is not None:
+        d = d.where(condition)
     return d.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("url", "content_languages", "warc_filename")), *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("warc_record_offset", "warc_record_length")))
 
 
@@ -140,53 +141,64 @@ def read_gold_examples(spark: SparkSession, path: str) -> DataFrame:
     return out.where((F.col("prompt") != "") & (F.col("response") != ""))
 
 
-def write_shards(df: DataFrame, folder: str, prefix: str, source: str, run_id: str, target_bytes: int = 200_000_000) -> DataFrame:
-    """Write rows as zstd JSON lines in shards of about ``target_bytes`` compressed; returns the manifest.
+def read_ranges(places: DataFrame, folder: str, most_bytes: int = 100_000_000) -> DataFrame:
+    """Adds ``content, ok, error`` to rows of ``filename, offset, length``: those bytes of the files below ``folder`` (any URI that pyarrow's file systems know).
 
-    Every task writes its own shards under a temporary name and renames them when closed; empty shards aren't left.  ``folder`` must be mounted on all executors.
+    A missing file, a null or negative place, a length above ``most_bytes`` or a file that ends too early gives ``ok`` false and the reason; rows are read in the order of
+    their places, so each task opens a file once.  Columns of the result's names are replaced.
     """
-    ddl = "run_id string, source string, filename string, path string, bytes bigint, records_count bigint, token_estimate bigint, checksum string, created_at string"
-    lines = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("line"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"))
+    from .files import opened
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import datetime
-        import hashlib
-        import os
-
-        import zstandard
-        from pyspark import TaskContext
-
-        task, n, rows = TaskContext.get().partitionId(), 0, []
-        state: dict = {}
-
-        def start() -> None:
-            nonlocal n
-            name = f"{prefix}_{source}_{run_id}_part-{task * 1000 + n:06d}.jsonl.zst"
-            n += 1
-            raw = io.FileIO(os.path.join(folder, name + f".tmp{TaskContext.get().attemptNumber()}"), "wb")
-            state.update(name=name, raw=raw, z=zstandard.ZstdCompressor().stream_writer(raw, closefd=False), records=0, chars=0)
-
-        def finish() -> None:
-            state["z"].flush(zstandard.FLUSH_FRAME)
-            state["raw"].close()
-            final = os.path.join(folder, state["name"])
-            os.replace(state["raw"].name, final)
-            with open(final, "rb") as f:
-                digest = hashlib.file_digest(f, "sha256").hexdigest()
-            rows.append((run_id, source, state["name"], final, os.path.getsize(final), state["records"], int(state["chars"] / 2.55), digest, datetime.datetime.now(datetime.UTC).isoformat()))
-            state.clear()
+    rows = places.drop("content", "ok", "error")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = opened(folder)
+        name, file = None, None
         for b in batches:
-            for line, chars in zip(b.column("line").to_pylist(), b.column("chars").to_pylist()):
-                if not state:
-                    start()
-                state["z"].write(line.encode() + b"\n")
-                state["records"] += 1
-                state["chars"] += chars
-                if state["raw"].tell() >= target_bytes:
-                    finish()
-        if state:
-            finish()
-        yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=[c.split()[0] for c in ddl.split(", ")]), preserve_index=False) if rows else pa.RecordBatch.from_pylist([], schema=pa.schema([(c.split()[0], pa.int64() if c.endswith("bigint") else pa.string()) for c in ddl.split(", ")]))
-
-    return lines.mapInArrow(run, ddl)
+            out, errors = [], []
+            for f, o, n in zip(*(b.column(c).to_pylist() for c in ("filename", "offset", "length"))):
+                data, error = None, ""
+                try:
+                    if f is None or o is None or n is None or o < 0 or n < 0:
+                        error = "bad_range"
+                    elif n > most_bytes:
+                        error = "too_long"
+                    else:
+                        if f != name:
+                            file, name = fs.open_input_file(f"{root}/{f}"), f
+                        file.seek(o)
+                        data = file.read(n)
+                        if len(data) < n:
+                            data, error = None, "short_read"
+                except OSError as e:
+                    name, error = None, f"read_failed: {type(e).__name__}"
+                out.append(data)
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary()), pa.array([not e for e in errors]), pa.array(errors, pa.string())], names=[*b.schema.names, "content", "ok", "error"])
+
+    return rows.repartition("filename").sortWithinPartitions("filename", "offset").mapInArrow(run, f"{ddl}, content binary, ok boolean, error string")
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return read_jsonl(spark, path, MANIFEST_DDL)
+
+
+def read_enrichment(spark: SparkSession, path: str) -> DataFrame:
+    """The last row of each ``doc_id``, in the order of files and lines."""
+    from ..operators.dedup import keep_first
+
+    d = read_jsonl(spark, path, ENRICHED_DDL).withColumn("_at", F.monotonically_increasing_id())
+    return keep_first(d.where(F.col("doc_id").isNotNull()), F.col("doc_id"), F.col("_at").desc()).drop("_at")
+
+
+def read_book_seeds(spark: SparkSession, path: str) -> DataFrame:
+    """``url, title, author, language`` of a list of books: tab-separated, or a URL alone, a line; ``#`` comments and what is no http address are left out, the first line of a URL wins."""
+    from ..functions import urls as U
+    from ..operators.dedup import keep_first
+
+    rows = spark.read.text(path).select(F.monotonically_increasing_id().alias("ord"), F.trim("value").alias("v")).where((F.col("v") != "") & ~F.startswith("v", F.lit("#")))
+    bits = F.split("v", "\t")
+    at = lambda n: F.coalesce(F.trim(F.get(bits, F.lit(n))), F.lit(""))
+    rows = rows.select("ord", at(0).alias("url"), at(1).alias("title"), at(2).alias("author"), at(3).alias("language")).where(U.valid_seed(F.col("url")))
+    return keep_first(rows, F.col("url"), F.col("ord")).drop("ord")

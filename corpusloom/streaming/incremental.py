@@ -6,32 +6,46 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.storagelevel import StorageLevel
 
 from ..functions import hashing as H
 from ..operators.dedup import keep_first, new_records
+from ..operators.config import Guardrails
 from ..operators.filters import FilterProfile, decide_keep
 
 
-def ingest(spark: SparkSession, folder: str, schema, out: str, checkpoint: str, profile: FilterProfile = FilterProfile(), files_per_batch: int = 100):
+class StopRun(Exception):
+    """A limit was reached; the batch that would come next isn't begun, and the next run goes on with it."""
+
+
+def ingest(spark: SparkSession, folder: str, schema, out: str, checkpoint: str, profile: FilterProfile = FilterProfile(), files_per_batch: int = 100, limits: Guardrails | None = None):
     """Stream records (Parquet files of ``doc_id, text, lang, lid_score, ...`` as they arrive in ``folder``) into ``out/kept`` and ``out/rejected``.
 
-    Each batch drops texts that it or an earlier batch has kept before; hashes of kept texts stand in ``out/hashes``, partitioned by batch, and
-    a batch that is run again after a failure replaces its own partition, so results don't depend on failures.  Returns the query, which ends when no file is left.
+    Each batch drops texts that it or an earlier batch has kept before, compared as normalized; hashes of kept texts stand in ``out/hashes``, partitioned by batch, and
+    a batch that is run again after a failure replaces its own partition, so results don't depend on failures.  A batch decides once (its decisions are persisted) and scans
+    the hash column of the history against its own hashes, so the history is never shuffled.  ``limits`` stop the run between batches.  Returns the query, which ends when no
+    file is left or a limit is reached.
     """
 
     def batch(df: DataFrame, epoch: int) -> None:
+        if limits is not None and (why := limits.reached()):
+            raise StopRun(why)
         s = df.sparkSession
-        decided = decide_keep(df, profile).withColumn("sha256", H.text_hash(F.col("text")))
+        decided = decide_keep(df, profile).withColumn("sha256", H.text_hash(F.col("normalized_text"))).drop("normalized_text").persist(StorageLevel.DISK_ONLY)
         try:
             seen = s.read.schema("sha256 string, epoch bigint").parquet(f"{out}/hashes").where(F.col("epoch") != epoch).select("sha256")
         except AnalysisException:  # the first batch
             seen = s.createDataFrame([], "sha256 string")
-        kept = new_records(keep_first(decided.where(F.col("keep")), F.col("sha256"), F.col("doc_id")), seen).withColumn("epoch", F.lit(epoch).cast("bigint"))
+        first = keep_first(decided.where(F.col("keep")), F.col("sha256"), F.col("doc_id"))
+        kept = new_records(first, seen.join(first.select("sha256"), "sha256", "left_semi")).withColumn("epoch", F.lit(epoch).cast("bigint"))
         write = lambda d, to: d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(f"{out}/{to}")
         write(kept, "kept")
         write(decided.where(~F.col("keep")).withColumn("epoch", F.lit(epoch).cast("bigint")), "rejected")
         # the hashes come last: a batch counts as done with them
         write(read_kept(s, out, df.schema).where(F.col("epoch") == epoch).select("sha256", "epoch"), "hashes")
+        if limits is not None:
+            limits.add(items=decided.count())
+        decided.unpersist()
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

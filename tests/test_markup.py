@@ -10,6 +10,7 @@ from corpusloom.operators import sections as X
 def test_links():
     page = "<a href='/b#x'>1</a><A HREF=\"HTTP://C.rw/?q=1&amp;r=2\">2</A><a href='mailto:x'>3</a><a href='/b'>4</a>"
     assert M.links_of(page, "http://a.rw/d/") == ["http://a.rw/b", "http://c.rw/?q=1&r=2", "http://a.rw/b"]
+    assert M.links_of("<!-- <a href='/x'>1</a> --><script>var a = '<a href=/y>';</script><a href='z'>2</a><!-- <a href='/q'>", "http://a.rw/") == ["http://a.rw/z"]
 
 
 def test_pairs():
@@ -36,7 +37,7 @@ def test_office():
 
 def test_robots_and_sections(spark):
     rows = [("http://a/x", "User-agent: *\nDisallow: /x", 200), ("http://a/y", "User-agent: *\nDisallow: /x", 200), ("http://a/x", "", 403), ("http://a/x", None, None)]
-    got = spark.createDataFrame(rows, "u string, r string, s int").select(M.robots_allow("u", "r", "s").alias("x")).collect()
+    got = spark.createDataFrame(rows, "u string, r string, s int").select(M.robots_allow(F.col("u"), F.col("r"), F.col("s")).alias("x")).collect()
     assert [r.x for r in got] == [False, True, False, True]
     docs = spark.createDataFrame([(1, "\n\n".join(["k" * 150, "e" * 150, "k" * 150])), (2, "short"), (3, None)], "i int, text string")
     ident = lambda b: b.withColumn("lang", F.when(F.startswith("block", F.lit("k")), "kin_Latn").otherwise("eng_Latn")).withColumn("score", F.lit(0.9))
