@@ -7,7 +7,14 @@ make a selective segment, so a position of the signature is a whole 32-bit minim
 
 Texts with the same shingle set are one class.  The index, the join and the verification work on classes, so a group of exact copies
 costs as much as one text.  Shingle sets are made in a second pass and only for classes that have a candidate, which a Bloom filter of
-bounded size tells; beyond that size it lets more classes through, never fewer.
+bounded size tells; where there are too many candidates for that filter, a join on the class does.
+
+A bucket of the index (the classes that share a variant) is joined with itself in blocks of bounded size, so none is one task's work.  All pairs of
+similar texts can't be had for less than what they are; where only the groups are wanted (``links="connected"``), a bucket above the block size is
+joined as a star around its first class, and only what isn't similar to that class is compared with the rest of the bucket.
+
+Verification compares sets of 32-bit hashes of shingles.  Two different shingles of a pair of texts of a thousand words have the same hash with a
+probability of about 0.0002, which moves the similarity by a thousandth.
 """
 
 from __future__ import annotations
@@ -153,40 +160,97 @@ def index(docs: DataFrame, id_col: str, text_col: str, k: int, segments: int, wi
     return _rows(docs, id_col, text_col).mapInArrow(run, f"id {kind}, at timestamp, class bigint, variants array<bigint>")
 
 
-def candidate_pairs(indexed: DataFrame) -> DataFrame:
+#: Classes of a bucket (or copies of a text) that are joined with each other in one block.
+BLOCK = 1000
+
+
+def _blocks(sized: DataFrame, block: int) -> DataFrame:
+    """Adds ``_m, _b``: the number of blocks of the row's key (``n`` rows) and the row's own one, dealt by a hash of ``id``."""
+    m = F.ceil(F.col("n") / block).cast("int")
+    return sized.withColumn("_m", m).withColumn("_b", F.pmod(F.xxhash64("id", F.lit(7)), m).cast("int"))
+
+
+def pairs_within(rows: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``a, b`` (a < b) of all rows (``key, id``, distinct) of the same key.
+
+    Keys of up to ``block`` rows are joined as they are.  Those of more are cut into blocks, and every two of them (and each with itself) are a task's work
+    of their own; a row travels once per block of its key.
+    """
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    sized = rows.join(sizes, "key")
+    few = sized.where(F.col("n") <= block)
+    small = few.select("key", F.col("id").alias("a")).join(few.select("key", F.col("id").alias("b")), "key").where(F.col("a") < F.col("b")).select("a", "b")
+    many = _blocks(sized.where(F.col("n") > block), block)
+    left = many.select("key", F.col("id").alias("x"), F.col("_b").alias("i"), F.explode(F.sequence(F.col("_b"), F.col("_m") - 1)).alias("j"))
+    right = many.select("key", F.col("id").alias("y"), F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("i"), F.col("_b").alias("j"))
+    large = left.join(right, ["key", "i", "j"]).where((F.col("i") < F.col("j")) | (F.col("x") < F.col("y")))
+    return small.unionByName(large.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+
+
+def bucket_rows(indexed: DataFrame) -> DataFrame:
+    """``key, id``: the variants and the classes that have them, once each."""
+    keys = indexed.where(F.col("variants").isNotNull()).select(F.explode("variants").alias("key"), F.col("class").alias("id"))
+    # one class may come from several partitions; this grouping and the joins all work on the one shuffle by key
+    return keys.repartition("key").groupBy("key", "id").agg(F.lit(1).alias("_")).select("key", "id")
+
+
+def candidate_pairs(indexed: DataFrame, block: int = BLOCK) -> DataFrame:
     """``a, b`` (a < b) of the classes that share a variant."""
-    keys = indexed.where(F.col("variants").isNotNull()).select(F.explode("variants").alias("key"), "class")
-    # one class may come from several partitions; this grouping and the join below both work on the one shuffle by key
-    keys = keys.repartition("key").groupBy("key", "class").agg(F.lit(1).alias("_"))
-    left, right = keys.select("key", F.col("class").alias("a")), keys.select("key", F.col("class").alias("b"))
-    return left.join(right, "key").where(F.col("a") < F.col("b")).select("a", "b").distinct()
+    return pairs_within(bucket_rows(indexed), block).distinct()
 
 
-def _bloom(candidates: DataFrame, most_bits: int) -> np.ndarray:
-    """A bit set in which both places of every candidate class are set; 32 bits a pair, at most ``most_bits``."""
+def connected_pairs(indexed: DataFrame, similar, block: int = BLOCK) -> DataFrame:
+    """Similar pairs ``a, b`` that connect the same classes as all similar ones of :func:`candidate_pairs` do; ``similar`` verifies candidates.
+
+    Buckets of up to ``block`` classes give all their pairs.  In a larger one every class is compared with the first; whatever is similar to it hangs
+    together through it, and only what isn't is compared with the whole bucket.  For edits of one text that is linear in their number.
+    """
+    rows = stage(bucket_rows(indexed), "p3-buckets")
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first")).where(F.col("n") > 1)
+    sized = stage(rows.join(sizes, "key"), "p3-sized")
+    small = pairs_within(sized.where(F.col("n") <= block).select("key", "id"), block)
+    star = sized.where((F.col("n") > block) & (F.col("id") != F.col("first")))
+    hub = lambda d: d.select(F.least("first", "id").alias("a"), F.greatest("first", "id").alias("b"))
+    found = stage(similar(stage(small.unionByName(hub(star)).distinct(), "p3-candidates")), "p3-star")
+    ends = star.withColumn("a", F.least("first", "id")).withColumn("b", F.greatest("first", "id"))
+    failed = ends.join(found.select("a", "b"), ["a", "b"], "left_anti").select("key", F.col("id").alias("x"), "n")
+    whole = _blocks(sized.where(F.col("n") > block), block).select("key", F.col("id").alias("y"), "_b")
+    rest = failed.select("key", "x", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / block).cast("int") - 1)).alias("_b")).join(whole, ["key", "_b"]).where(F.col("x") != F.col("y"))
+    rest = stage(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "p3-rest")
+    return found.unionByName(similar(rest)) if rest.limit(1).count() else found
+
+
+def _places(cls: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    h = cls.view(np.uint64)
+    return (h & _U(bits - 1)).astype(np.int64), ((h >> _U(32)) * _U(0x9E3779B1) & _U(bits - 1)).astype(np.int64)
+
+
+def _bloom(candidates: DataFrame, most_bits: int) -> np.ndarray | None:
+    """A bit set in which both places of every candidate class are set, 32 bits a pair; None where that would take more than ``most_bits``."""
     pairs = candidates.count()
-    bits = min(most_bits, max(1 << 20, 1 << (32 * pairs).bit_length()))
+    bits = max(1 << 20, 1 << (32 * pairs).bit_length())
+    if bits > most_bits:
+        return None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flags = np.zeros(bits, bool)
+        flags = np.zeros(bits // 8, np.uint8)
         for b in batches:
             for c in ("a", "b"):
-                h = b.column(c).to_numpy(zero_copy_only=False).view(np.uint64)
-                flags[(h & _U(bits - 1)).astype(np.int64)] = True
-                flags[((h >> _U(32)) * _U(0x9E3779B1) & _U(bits - 1)).astype(np.int64)] = True
-        yield slots(np.packbits(flags).reshape(-1, 1024))
+                for place in _places(b.column(c).to_numpy(zero_copy_only=False), bits):
+                    np.bitwise_or.at(flags, place >> 3, (128 >> (place & 7)).astype(np.uint8))
+        yield slots(flags.reshape(-1, 1024))
 
     return add_up(candidates.mapInArrow(run, SLOT_DDL), (bits // 8192, 1024), np.uint8, np.bitwise_or).reshape(-1)
 
 
-def shingle_sets(docs: DataFrame, id_col: str, text_col: str, k: int, bloom: np.ndarray) -> DataFrame:
-    """``class, s``: the distinct 32-bit shingle hashes of every class that the Bloom filter lets through."""
-    shared = docs.sparkSession.sparkContext.broadcast(bloom)
+def shingle_sets(docs: DataFrame, id_col: str, text_col: str, k: int, candidates: DataFrame, most_bloom_bits: int) -> DataFrame:
+    """``class, s``: the distinct 32-bit shingle hashes of every class in a candidate pair (and of a few more)."""
+    bloom = _bloom(candidates, most_bloom_bits)
+    shared = None if bloom is None else docs.sparkSession.sparkContext.broadcast(bloom)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen = _Words(), set()
-        bits = shared.value
-        mask = _U(len(bits) * 8 - 1)
+        bits = None if shared is None else shared.value
 
         def hit(place: np.ndarray) -> np.ndarray:
             return ((bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1).astype(bool)
@@ -196,14 +260,19 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, k: int, bloom: np.
                 if len(words) > WORD_CACHE:
                     words = _Words()
                 _, cls, _, sets, ends = signatures(part, k, 0, 1, words)
-                h = cls.view(np.uint64)
-                keep = hit((h & mask).astype(np.int64)) & hit(((h >> _U(32)) * _U(0x9E3779B1) & mask).astype(np.int64))
+                keep = np.ones(len(cls), bool)
+                if bits is not None:
+                    one, two = _places(cls, len(bits) * 8)
+                    keep = hit(one) & hit(two)
                 keep[keep] = _new(cls[keep], seen)
                 lists = _lists(sets, ends, keep)
                 take = pa.array(np.flatnonzero(keep))
                 yield pa.RecordBatch.from_arrays([pa.array(cls).take(take), lists.take(take)], names=["class", "s"])
 
     found = _rows(docs, id_col, text_col).select("text").mapInArrow(run, "class bigint, s array<int>")
+    if bloom is None:
+        needed = candidates.select(F.col("a").alias("class")).unionByName(candidates.select(F.col("b").alias("class"))).distinct()
+        found = found.join(needed, "class", "left_semi")
     return found.groupBy("class").agg(F.first("s").alias("s"))
 
 
@@ -221,41 +290,46 @@ def members(indexed: DataFrame, known: DataFrame | None) -> DataFrame:
     return one if known is None else one.join(known, "id", "left_semi")
 
 
-def near_duplicates(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8, segments: int = 8, width: int = 4, most_bloom_bits: int = 1 << 28) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(
+    docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8, segments: int = 8, width: int = 4, links: str = "all", block: int = BLOCK, most_bloom_bits: int = 1 << 28
+) -> tuple[DataFrame, DataFrame]:
     """Similar classes of texts and the ids in them: ``(pairs: a, b, similarity)`` and ``(members: id, class)``.
 
     Similarity is the number of distinct k-word sequences in both texts over the number in either; words are runs of letters and digits
     in lower case.  With the default signature a pair of similarity s is found with probability ``1 - (1 - 4 s^3 (1-s) - s^4)^8``: 0.994
     at 0.6, 0.9995 at 0.7.  ``known`` (a column ``id``) restricts the ids.
 
+    ``links="all"`` gives every similar pair of classes; ``"connected"`` gives similar pairs that connect the same classes, fewer of them in buckets of more
+    than ``block`` classes.  Neither drops a class or a bucket.
+
     Null ids and null texts are ignored; a text of fewer than k words has no sequence and is similar to nothing; rows delivered again
     count once, with the latest ``fetched_at``; other columns are ignored.
     """
     table = stage(index(docs, id_col, text_col, k, segments, width), "p3")
-    candidates = stage(candidate_pairs(table), "p3-candidates")
-    sets = stage(shingle_sets(docs, id_col, text_col, k, _bloom(candidates, most_bloom_bits)), "p3-sets")
-    return verified(candidates, sets, threshold), members(table, known)
 
+    def similar(candidates: DataFrame) -> DataFrame:
+        sets = stage(shingle_sets(docs, id_col, text_col, k, candidates, most_bloom_bits), "p3-sets")
+        return verified(candidates, sets, threshold)
 
-#: Classes of more exact copies than this are given as pairs of their first id with each other id, so that pairs grow with the copies.
-EXPAND_COPIES = 1000
+    if links == "connected":
+        return connected_pairs(table, similar, block), members(table, known)
+    return similar(stage(candidate_pairs(table, block), "p3-candidates")), members(table, known)
 
 
-def id_pairs(pairs: DataFrame, of: DataFrame) -> DataFrame:
-    """``doc_id_a, doc_id_b`` (a < b) of all similar pairs of ids; see :data:`EXPAND_COPIES` for very many exact copies.
+def id_pairs(pairs: DataFrame, of: DataFrame, copies: str = "all") -> DataFrame:
+    """``doc_id_a, doc_id_b`` (a < b) of similar ids.
 
-    Of such a class only the first id is paired with the ids of similar classes.
+    ``copies="all"`` pairs every two ids of similar or equal texts.  ``"first"`` pairs the first ids of similar classes, and within a class the first id with
+    each other one, so that pairs grow with the copies instead of their square; together with the members that tells as much.
     """
-    sized = of.groupBy("class").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    several = sized.where(F.col("n") > 1)
-    m = of.join(sized, "class").where((F.col("n") <= EXPAND_COPIES) | (F.col("id") == F.col("first")))
-    a, b = m.select(F.col("class").alias("a"), F.col("id").alias("ia")), m.select(F.col("class").alias("b"), F.col("id").alias("ib"))
-    between = pairs.select("a", "b").join(a, "a").join(b, "b").select("ia", "ib")
-    copies = of.join(several, "class")
-    few = copies.where(F.col("n") <= EXPAND_COPIES).select("class", "id")
-    within = few.select("class", F.col("id").alias("ia")).join(few.select("class", F.col("id").alias("ib")), "class").where(F.col("ia") < F.col("ib")).select("ia", "ib")
-    star = copies.where((F.col("n") > EXPAND_COPIES) & (F.col("id") != F.col("first"))).select(F.col("first").alias("ia"), F.col("id").alias("ib"))
-    every = between.unionByName(within).unionByName(star)
+    if copies == "first":
+        first = of.groupBy("class").agg(F.min("id").alias("first"))
+        a, b = first.select(F.col("class").alias("a"), F.col("first").alias("ia")), first.select(F.col("class").alias("b"), F.col("first").alias("ib"))
+        within = of.join(first, "class").where(F.col("id") != F.col("first")).select(F.col("first").alias("ia"), F.col("id").alias("ib"))
+    else:
+        a, b = of.select(F.col("class").alias("a"), F.col("id").alias("ia")), of.select(F.col("class").alias("b"), F.col("id").alias("ib"))
+        within = pairs_within(of.select(F.col("class").alias("key"), "id")).select(F.col("a").alias("ia"), F.col("b").alias("ib"))
+    every = pairs.select("a", "b").join(a, "a").join(b, "b").select("ia", "ib").unionByName(within)
     return every.select(F.least("ia", "ib").alias("doc_id_a"), F.greatest("ia", "ib").alias("doc_id_b"))
 
 
@@ -291,10 +365,10 @@ def components(pairs: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 
 def groups(pairs: DataFrame, of: DataFrame) -> DataFrame:
-    """``doc_id, class, grp, links``: every id with its class of equal texts, its group of linked classes and its class's number of links."""
-    pairs = stage(pairs, "p3-pairs")
-    ends = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).groupBy("class").agg(F.count("*").alias("links"))
-    return (
-        of.join(components(pairs), "class", "left").join(ends, "class", "left")
-        .select(F.col("id").alias("doc_id"), "class", F.coalesce("grp", "class").alias("grp"), F.coalesce("links", F.lit(0).cast("long")).alias("links"))
-    )
+    """``doc_id, class_id, group_id, copies``: every id with the first id of its texts' class, the first id of its group of linked classes, and the number of ids in its class."""
+    pairs = stage(pairs.select("a", "b"), "p3-pairs")
+    size = of.groupBy("class").agg(F.min("id").alias("class_id"), F.count("*").alias("copies"))
+    linked = components(pairs)
+    first = size.join(linked, "class").groupBy("grp").agg(F.min("class_id").alias("group_id"))
+    named = size.join(linked.join(first, "grp").select("class", "group_id"), "class", "left")
+    return of.join(named, "class").select(F.col("id").alias("doc_id"), "class_id", F.coalesce("group_id", "class_id").alias("group_id"), "copies")

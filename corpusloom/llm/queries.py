@@ -41,17 +41,19 @@ def p2_records(spark: SparkSession, d: str) -> DataFrame:
     return _languages(spark, d)
 
 
-def _near(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _near(spark: SparkSession, d: str, links: str = "all") -> tuple[DataFrame, DataFrame]:
     known = _t(spark, d, "fuzzy_docs").select(F.col("doc_id").alias("id"))
-    return near_duplicates.near_duplicates(_t(spark, d, "wet_records"), known, k=3, threshold=0.6)
+    return near_duplicates.near_duplicates(_t(spark, d, "wet_records"), known, k=3, threshold=0.6, links=links)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """All similar pairs of ids."""
     return near_duplicates.id_pairs(*_near(spark, d))
 
 
 def p3_groups(spark: SparkSession, d: str) -> DataFrame:
-    return near_duplicates.groups(*_near(spark, d))
+    """Every id with its class of equal texts and its group of similar ones."""
+    return near_duplicates.groups(*_near(spark, d, "connected"))
 
 
 def _captures(spark: SparkSession, d: str) -> DataFrame:

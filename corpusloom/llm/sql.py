@@ -16,4 +16,12 @@ def oracle_sql() -> dict[str, str]:
         g AS (SELECT doc_id, list_distinct([array_to_string(w[i:i + 2], ' ') for i in range(1, len(w) - 1)]) AS g FROM d WHERE len(w) >= 3),
         s AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM g)
         SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2, a.n, b.n HAVING count(*) / (a.n + b.n - count(*))::DOUBLE >= 0.6"""
-    return {"p1_found": p1, "p3_found": p3}
+    groups = f"""
+        WITH RECURSIVE p AS ({p3}),
+        d AS (SELECT doc_id, list_sort(list_distinct([array_to_string(w[i:i + 2], ' ') for i in range(1, len(w) - 1)])) AS g FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w, row_number() OVER (PARTITION BY doc_id ORDER BY fetched_at DESC) AS i FROM wet_records
+          WHERE text IS NOT NULL AND doc_id IN (SELECT doc_id FROM fuzzy_docs)) WHERE i = 1 AND len(w) >= 3),
+        l AS (SELECT doc_id_a AS a, doc_id_b AS b FROM p UNION ALL SELECT doc_id_b, doc_id_a FROM p),
+        r AS (SELECT doc_id, doc_id AS to_ FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.to_),
+        g AS (SELECT doc_id, min(to_) AS group_id FROM r GROUP BY 1)
+        SELECT doc_id, min(doc_id) OVER (PARTITION BY d.g) AS class_id, group_id, count(*) OVER (PARTITION BY d.g) AS copies FROM d JOIN g USING (doc_id)"""
+    return {"p1_found": p1, "p3_found": p3, "p3_groups": groups}

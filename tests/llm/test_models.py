@@ -33,7 +33,7 @@ def test_near_duplicates_against_brute_force(spark):
     p, m = near_duplicates.near_duplicates(df, k=3, threshold=0.6)
     got = {(r.doc_id_a, r.doc_id_b) for r in near_duplicates.id_pairs(p, m).collect()}
     assert got <= want and len(got) >= 0.98 * len(want) > 20
-    group = {r.doc_id: r.grp for r in near_duplicates.groups(p, m).collect()}
+    group = {r.doc_id: r.group_id for r in near_duplicates.groups(p, m).collect()}
     assert all(group[a] == group[b] for a, b in got) and "e" not in group
     p, m = near_duplicates.near_duplicates(df.limit(0))
     assert near_duplicates.id_pairs(p, m).count() == 0
