@@ -174,10 +174,14 @@ def pairs_within(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """``a, b`` (a < b) of all rows (``key, id``, distinct) of the same key.
 
     Keys of up to ``block`` rows are joined as they are.  Those of more are cut into blocks, and every two of them (and each with itself) are a task's work
-    of their own; a row travels once per block of its key.
+    of their own; a row travels once per block of its key.  Keys of one row, mostly nearly all, are left out first; what is left is written once.
     """
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    sized = rows.join(sizes, "key")
+    return _pairs_of(stage(rows.join(sizes, "key"), "shared-keys"), block)
+
+
+def _pairs_of(sized: DataFrame, block: int) -> DataFrame:
+    """:func:`pairs_within` of rows (``key, id, n``) of keys that several rows have."""
     few = sized.where(F.col("n") <= block)
     small = few.select("key", F.col("id").alias("a")).join(few.select("key", F.col("id").alias("b")), "key").where(F.col("a") < F.col("b")).select("a", "b")
     many = _blocks(sized.where(F.col("n") > block), block)
@@ -205,10 +209,10 @@ def connected_pairs(indexed: DataFrame, similar, block: int = BLOCK) -> DataFram
     Buckets of up to ``block`` classes give all their pairs.  In a larger one every class is compared with the first; whatever is similar to it hangs
     together through it, and only what isn't is compared with the whole bucket.  For edits of one text that is linear in their number.
     """
-    rows = stage(bucket_rows(indexed), "p3-buckets")
+    rows = bucket_rows(indexed)
     sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("first")).where(F.col("n") > 1)
     sized = stage(rows.join(sizes, "key"), "p3-sized")
-    small = pairs_within(sized.where(F.col("n") <= block).select("key", "id"), block)
+    small = _pairs_of(sized.where(F.col("n") <= block), block)
     star = sized.where((F.col("n") > block) & (F.col("id") != F.col("first")))
     hub = lambda d: d.select(F.least("first", "id").alias("a"), F.greatest("first", "id").alias("b"))
     found = stage(similar(stage(small.unionByName(hub(star)).distinct(), "p3-candidates")), "p3-star")

@@ -13,8 +13,9 @@ _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 _WORD = re.compile(r"[^\W_]+")
 _LETTER = re.compile(r"[^\W\d_]")
 _CHARSET = re.compile(rb"charset\s*=\s*[\"']?([\w-]+)", re.I)
-_SPACES = re.compile(r"\s+")
+_NAMES: dict[str, tuple[str, ...]] = {}
 
+#: Fixed values of HTML: elements without content, elements in a line of text, elements that are a unit by themselves, what an opening tag closes.
 VOID = {"br", "img", "hr", "meta", "link", "input", "area", "base", "col", "embed", "source", "wbr"}
 INLINE = {"a", "b", "i", "em", "strong", "span", "font", "u", "small", "big", "sub", "sup", "mark", "abbr", "cite", "code", "q", "label", "time"}
 PARAGRAPH = {"p", "li", "td", "th", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "button", "title", "figcaption", "dt", "dd", "caption", "pre"}
@@ -22,7 +23,7 @@ _CLOSES = {"li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"t
 _STOPS = {"table", "ul", "ol", "div", "section", "article", "body", "html"}
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     tag: str
     parent: int
@@ -30,7 +31,7 @@ class Node:
     names: tuple[str, ...] = ()
 
 
-@dataclass
+@dataclass(slots=True)
 class Unit:
     """Pieces that belong together: a paragraph, an item, a cell, a run of text between breaks."""
 
@@ -64,7 +65,7 @@ def decoded(body: bytes | None, content_type: str | None = None) -> str:
             if e.start < len(body) - 4:
                 break
     m = re.search(r"charset\s*=\s*[\"']?([\w-]+)", content_type or "", re.I)
-    inside = _CHARSET.search(body[:2048])
+    inside = _CHARSET.search(body)
     named = [m[1] if m else "", inside[1].decode("ascii", "ignore") if inside else ""]
     stated = [x for x in named if x and x.lower().replace("-", "") not in ("utf8", "iso88591", "latin1", "usascii", "ascii")]
     for name in [*stated, "windows-1252"]:
@@ -80,12 +81,24 @@ def is_html(text: str) -> bool:
 
 
 def plain(text: str) -> str:
-    return _SPACES.sub(" ", html.unescape(text) if "&" in text else text).strip()
+    return " ".join((html.unescape(text) if "&" in text else text).split())
+
+
+def _names(attrs: str) -> tuple[str, ...]:
+    """Words of an element's classes, id and role; remembered, as most elements repeat others."""
+    found = _NAMES.get(attrs)
+    if found is None:
+        if len(_NAMES) > 100_000:
+            _NAMES.clear()
+        found = _NAMES[attrs] = tuple(w.lower() for a in _ATTR.finditer(attrs) for w in re.findall(r"[^\W\d_]+", a[2] or a[3] or a[4] or ""))
+    return found
 
 
 def parse(text: str) -> Page:
     """Pieces are numbered in page order: the text between two neighbouring tags or comments that has a letter after references are resolved."""
     nodes = [Node("#", -1, 0)]
+    # per node: the block it is in, the outermost inline element below that block or -1, whether it is in a link of that block
+    block_of, top_of, in_link = [0], [-1], [False]
     here, at, n = 0, 0, 0
     title = ""
     # per parent that is no paragraph: atoms (node of the unit, piece numbers, text, linked, gap before) in order
@@ -95,21 +108,13 @@ def parse(text: str) -> Page:
     breaks = 0
     last_kind = ""
 
-    def inline_root(node: int) -> tuple[int, int]:
-        """The block a node is in and the outermost inline element below it (or -1)."""
-        top = -1
-        while nodes[node].tag in INLINE:
-            top = node
-            node = nodes[node].parent
-        return node, top
-
     def put(raw: str) -> None:
         nonlocal n, open_unit, atom_of, breaks, last_kind, title
         t = plain(raw)
         if not t:
             return
         letters = bool(_LETTER.search(t))
-        block, top = inline_root(here)
+        block, top = block_of[here], top_of[here]
         whole = nodes[block].tag in PARAGRAPH and nodes[block].tag not in ("td", "th", "li")
         fresh = open_unit is None or open_unit.node != block or (breaks >= 2 and not whole)
         if not fresh and not whole:
@@ -133,12 +138,8 @@ def parse(text: str) -> Page:
             u.pieces.append(n)
             n += 1
         u.text = f"{u.text} {t}" if u.text else t
-        k = here
-        while k > 0 and nodes[k].tag in INLINE:
-            if nodes[k].tag == "a":
-                u.linked += len(t)
-                break
-            k = nodes[k].parent
+        if in_link[here]:
+            u.linked += len(t)
         if nodes[block].tag == "title":
             u.in_head = True
             title = title or t
@@ -182,9 +183,13 @@ def parse(text: str) -> Page:
                     if tag != "tr":
                         break
                 k = nodes[k].parent
-        names = tuple(w.lower() for a in _ATTR.finditer(attrs) for w in re.findall(r"[^\W\d_]+", a[2] or a[3] or a[4] or ""))
-        nodes.append(Node(tag, here, nodes[here].depth + 1, names))
-        here = len(nodes) - 1
+        nodes.append(Node(tag, here, nodes[here].depth + 1, _names(attrs) if attrs else ()))
+        k = len(nodes) - 1
+        inline = tag in INLINE
+        block_of.append(block_of[here] if inline else k)
+        top_of.append((k if top_of[here] < 0 else top_of[here]) if inline else -1)
+        in_link.append(inline and (tag == "a" or in_link[here]))
+        here = k
     if at < len(text):
         put(text[at:])
     return Page(nodes, units, n, title, closed)
