@@ -1,39 +1,42 @@
 """The article of a page without the frame of its site (problem 4).
 
-Gradient-boosted trees score every unit of text from features of its place in the element tree: density of text and links in the
-subtrees around it, tokens of attributes, depth, statistics of its siblings, its place against the headline.  Candidates are the units of the headline's element from the headline on.  Hierarchical
+Gradient-boosted trees score units of text from features of their place in the element tree: density of text and links in the
+subtrees around it, tokens of attributes, depth, statistics of its siblings, its place against the headline.  Hierarchical
 decoding then labels the tree as a whole: an element is kept, dropped or mixed, and below a kept or dropped one nothing may say
 otherwise.
 
+The headline is the first unit that agrees with the page's title; on a page where none does, trees of their own choose it among all units, by
+their place and looks alone.  Units of the headline's element from the headline on are scored by the same trees on both kinds of pages, and nothing tells
+them of which kind a page is, so an article under another title is as good as any.
+
 No page comes labelled, so the trees learn from a bounded sample of pages whose labels follow from what only all pages show: text that
 recurs on other pages, of all captures, is frame, the page's title names the headline, and the element around the headline holds the
-article.
+article.  Sample pages without a unit that agrees with the title count as pages without an article.
 """
 
 from __future__ import annotations
 
+import gc
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import accumulate
-from math import log1p
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pages import Page, decoded, is_html, parse
+from .pages import Page, decoded, is_html, parse, plain
 from .words import hash_sample, pieces
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _DIGITS = re.compile(r"\d+")
 _COUNTED = re.compile(r"\(\d+\)\s*$")
 _SHUT = re.compile(r"[.!?)%»\"”]\s*$")
+#: Fixed values of HTML: elements that a unit may stand in, and that may stand around it.
 _TAGS = ("p", "div", "span", "li", "td", "h1", "h2", "h3", "h4", "blockquote", "button", "center", "body", "section", "aside")
-_ONE_HOT = {x: tuple(int(x == y) for y in _TAGS) for x in _TAGS}
-_NO_TAG = (0,) * len(_TAGS)
 _FRAMES = ("nav", "header", "footer", "aside", "form", "button", "ul", "table", "article", "main", "section", "center")
 
 
@@ -41,118 +44,69 @@ def letters(text: str) -> str:
     return "".join(_LETTERS.findall(text.lower()))
 
 
-@dataclass
+@dataclass(slots=True)
 class View:
-    """What features and labels share about a page."""
+    """What features and labels share about a page; ``titled`` tells that the headline agrees with the title.  ``first`` and ``end`` bound the units of every element."""
 
     page: Page
     headline: int
     container: int
-    spans: dict
-    inside: list[bool]
+    first: list[int]
+    end: list[int]
+    titled: bool
 
-    def candidates(self) -> list[int]:
-        """The units that can be article: in the headline's element, from the headline on."""
-        return [i for i in range(self.headline, len(self.inside)) if self.inside[i]] if self.headline >= 0 else []
+    def candidates(self) -> range:
+        """The units that can be article: in the headline's element, from the headline on (an element's units stand next to each other)."""
+        return range(self.headline, self.end[self.container]) if self.headline >= 0 else range(0)
 
 
 def view(page: Page) -> View:
-    """Find the headline (the first unit that begins the title) and the element around it that holds more text."""
+    """Find the headline (the first unit that begins the title, or that the title begins) and the element around it that holds more text."""
     title, headline = letters(page.title), -1
-    for i, u in enumerate(page.units):
+    for i, u in enumerate(page.units) if title else ():
         if not u.in_head and u.pieces:
             t = letters(u.text)
             if len(t) >= 12 and (title.startswith(t) or (len(title) >= 30 and t.startswith(title))):
                 headline = i
                 break
-    spans: dict[int, list[int]] = defaultdict(list)
+    n = len(page.units)
+    first, end = [n] * len(page.nodes), [0] * len(page.nodes)
     for i, u in enumerate(page.units):
-        k = u.node
-        while k >= 0:
-            spans[k].append(i)
-            k = page.nodes[k].parent
-    container = -1
+        if first[u.node] == n:
+            first[u.node] = i
+        end[u.node] = i + 1
+    for k in range(len(page.nodes) - 1, 0, -1):  # children come after their parents
+        if end[k]:
+            up = page.nodes[k].parent
+            first[up], end[up] = min(first[up], first[k]), max(end[up], end[k])
+    v = View(page, -1, -1, first, end, headline >= 0)
     if headline >= 0:
-        k = page.units[headline].node
-        while k > 0:
-            if any(i > headline and len(page.units[i].text.split()) >= 5 for i in spans[k]):
-                break
-            k = page.nodes[k].parent
-        container = max(k, 0)
-    held = set(spans[container]) if container >= 0 else set()
-    return View(page, headline, container, spans, [i in held for i in range(len(page.units))])
+        place_headline(v, headline)
+    return v
+
+
+def place_headline(v: View, headline: int) -> None:
+    """Take a unit for the headline: its element is the nearest above it with a longer unit after it."""
+    units, nodes = v.page.units, v.page.nodes
+    k = units[headline].node
+    longer = [i for i in range(headline + 1, len(units)) if len(units[i].text.split()) >= 5]
+    while k > 0 and not (longer and longer[0] < v.end[k]):
+        k = nodes[k].parent
+    v.headline, v.container = headline, max(k, 0)
 
 
-def _odds(table: dict, tokens) -> list[float]:
-    return [table[t] for t in tokens if t in table]
+_FLAG = {x: 1 << i for i, x in enumerate(_FRAMES)}
+_TAG_NO = {x: i for i, x in enumerate(_TAGS)}
 
 
 @dataclass
-class ArticleModel:
-    names: dict = field(default_factory=dict)
-    words: dict = field(default_factory=dict)
-    edges: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+class Trees:
+    """Boosted trees; an empty set says ``base``."""
+
     split: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), int))
     cut: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     leaf: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     base: float = -5.0
-    mixed_cost: float = 0.5
-
-    def features(self, v: View) -> np.ndarray:
-        """One row of numbers for each candidate unit."""
-        nodes, units = v.page.nodes, v.page.units
-        n = len(units)
-        split = [u.text.split() for u in units]
-        size = [len(u.text) for u in units]
-        word = [len(w) for w in split]
-        link = [u.linked / max(z, 1) for u, z in zip(units, size)]
-        dots = [u.text.rstrip().endswith(("…", "...")) for u in units]
-        shut = [_SHUT.search(u.text) is not None for u in units]
-        # an element's units stand next to each other, so sums over it are differences of running sums
-        words_to, chars_to, linked_to, dots_to, shut_to = (list(accumulate(x, initial=0)) for x in (word, size, (min(u.linked, z) for u, z in zip(units, size)), dots, shut))
-        stats = {}
-        for k, sp in v.spans.items():
-            i, j = sp[0], sp[-1] + 1
-            m, total, chars = j - i, words_to[j] - words_to[i], chars_to[j] - chars_to[i]
-            stats[k] = (m, total / m, (linked_to[j] - linked_to[i]) / max(chars, 1), (dots_to[j] - dots_to[i]) / m, (shut_to[j] - shut_to[i]) / m, log1p(total))
-        head_chain, k = {}, units[v.headline].node if v.headline >= 0 else -1
-        while k >= 0:
-            head_chain[k] = len(head_chain)
-            k = nodes[k].parent
-        flags: list[tuple] = [(0,) * len(_FRAMES)]
-        odds: list[tuple] = [()]
-        meets: list[int] = [head_chain.get(0, 12)]
-        for k in range(1, len(nodes)):  # parents come first
-            d = nodes[k]
-            flags.append(tuple(int(f or d.tag == x) for f, x in zip(flags[d.parent], _FRAMES)) if d.tag in _FRAMES else flags[d.parent])
-            odds.append(odds[d.parent] + tuple(_odds(self.names, d.names)) if d.names else odds[d.parent])
-            meets.append(head_chain[k] if k in head_chain else meets[d.parent])
-        none, table = (0, 0, 0, 0, 0, 0), self.words
-        rows = []
-        for i in v.candidates():
-            u = units[i]
-            node, parent = nodes[u.node], max(nodes[u.node].parent, 0)
-            grand = max(nodes[parent].parent, 0)
-            o = odds[u.node]
-            own = _odds(self.names, node.names + nodes[parent].names)
-            t = u.text
-            low = _LETTERS.findall(t.lower())
-            lw, first = [table[w] for w in low if w in table], table.get(("^", *low[:2]), 0.0)
-            digits = sum(map(len, _DIGITS.findall(t))) / max(size[i], 1)
-            caps = sum(map(str.isupper, [w[0] for w in split[i]])) / max(word[i], 1)
-            before, after = (units[i - 1] if i else None), (units[i + 1] if i + 1 < n else None)
-            rows.append(
-                [
-                    word[i], size[i], link[i], dots[i], shut[i], digits, caps, "|" in t, "©" in t, bool(_COUNTED.search(t)), u.in_head, len(u.pieces),
-                    node.depth, i / n, n, v.headline >= 0, i == v.headline, max(-20, min(40, i - v.headline)) if v.headline >= 0 else -30, v.inside[i], meets[u.node],
-                    u.node == v.container, node.parent == v.container, i == n - 1 and not v.page.closed, v.page.closed,
-                    *stats.get(u.node, none), *stats.get(parent, none), *stats.get(grand, none), *_ONE_HOT.get(node.tag, _NO_TAG), *flags[u.node],
-                    sum(o) / len(o) if o else 0, min(o, default=0), max(o, default=0), sum(own) / len(own) if own else 0, sum(lw) / len(lw) if lw else 0, min(lw, default=0), first,
-                    word[i - 1] if i else 0, word[i + 1] if i + 1 < n else 0, link[i - 1] if i else 0, link[i + 1] if i + 1 < n else 0, dots[i - 1] if i else 0, dots[i + 1] if i + 1 < n else 0,
-                    bool(before and nodes[before.node].tag[:1] == "h"), bool(after and after.node == u.node), bool(before and before.node == u.node),
-                ]
-            )
-        return np.array(rows, float)
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         out = np.full(len(x), self.base)
@@ -168,53 +122,170 @@ class ArticleModel:
             out += leaf[at]
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
-    def kept(self, v: View, p: np.ndarray | None = None) -> list[bool]:
-        """Which units are the article, decoded over the tree; ``p`` are the candidates' probabilities if they are known."""
-        units, nodes = v.page.units, v.page.nodes
+
+def _accumulated(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros((1, x.shape[1])), np.cumsum(x, 0)])
+
+
+@dataclass
+class ArticleModel:
+    names: dict = field(default_factory=dict)
+    words: dict = field(default_factory=dict)
+    trees: Trees = field(default_factory=Trees)
+    headlines: Trees = field(default_factory=Trees)
+    mixed_cost: float = 0.5
+    least_headline: float = 0.5
+    texts: dict = field(default_factory=dict)
+
+    def __getstate__(self):
+        return self.__dict__ | {"texts": {}}
+
+    def _text(self, t: str) -> tuple:
+        """Numbers of a unit's text alone; remembered for short ones, since frames recur."""
+        found = self.texts.get(t)
+        if found is None:
+            table, split = self.words, t.split()
+            low = _LETTERS.findall(t.lower())
+            lw = [table[w] for w in low if w in table]
+            found = (
+                len(split), len(t), t.endswith(("…", "...")), _SHUT.search(t) is not None, sum(map(len, _DIGITS.findall(t))) / max(len(t), 1), sum(map(str.isupper, [w[0] for w in split])) / max(len(split), 1),
+                "|" in t, "©" in t, bool(_COUNTED.search(t)), sum(lw) / len(lw) if lw else 0.0, min(lw, default=0.0), table.get(("^", *low[:2]), 0.0),
+            )
+            if len(t) < 120:
+                if len(self.texts) > 200_000:
+                    self.texts.clear()
+                self.texts[t] = found
+        return found
+
+    def features(self, views: list[View], wanted: list) -> np.ndarray:
+        """One row of numbers for each of the ``wanted`` units of every page, the pages in turn."""
+        table, text = self.names, self._text
+        unit, node, pick, of_page = [], [], [], []
+        page = []  # per page: first unit, units, whether it is closed, headline
+        for v, want in zip(views, wanted):
+            nodes, units = v.page.nodes, v.page.units
+            if not len(want):
+                continue
+            u0 = len(unit)
+            unit.extend([(*text(u.text), min(u.linked, len(u.text)), u.linked / max(len(u.text), 1), u.in_head, len(u.pieces)) for u in units])
+            chain, k = {}, units[v.headline].node if v.headline >= 0 else -1
+            while k >= 0:
+                chain[k] = len(chain)
+                k = nodes[k].parent
+            flags, odds, meets = [0], [(0.0, 0, 0.0, 0.0)], [chain.get(0, 12)]
+            own = [(0.0, 0)]
+            for k in range(1, len(nodes)):  # parents come first
+                d = nodes[k]
+                up = d.parent
+                flags.append(flags[up] | _FLAG.get(d.tag, 0))
+                meets.append(chain[k] if k in chain else meets[up])
+                found = [table[x] for x in d.names if x in table] if d.names else ()
+                own.append((sum(found), len(found)))
+                if found:
+                    total, n, low, high = odds[up]
+                    odds.append((total + own[k][0], n + len(found), min(found) if not n else min(low, *found), max(found) if not n else max(high, *found)))
+                else:
+                    odds.append(odds[up])
+            for i in want:
+                k = units[i].node
+                up = max(nodes[k].parent, 0)
+                top = max(nodes[up].parent, 0)
+                d, o, w, z = nodes[k], odds[k], own[k], own[up]
+                before, after = units[i - 1].node if i else -1, units[i + 1].node if i + 1 < len(units) else -1
+                node.append((
+                    d.depth, flags[k], meets[k], v.first[k], v.end[k], v.first[up], v.end[up], v.first[top], v.end[top], o[0] / max(o[1], 1), o[2], o[3], (w[0] + z[0]) / max(w[1] + z[1], 1), _TAG_NO.get(d.tag, -1),
+                    k == v.container, up == v.container, before >= 0 and nodes[before].tag[:1] == "h", after == k, before == k,
+                ))
+            pick.extend([u0 + i for i in want])
+            of_page.extend([len(page)] * len(want))
+            page.append((u0, len(units), v.page.closed, v.headline))
+        if not pick:
+            return np.zeros((0, 1))
+        u, w, p = np.array(unit, float), np.array(node, float), np.array(page, np.int64)
+        at, of = np.array(pick), np.array(of_page)
+        begin, count, closed, headline = p[of].T
+        sums = _accumulated(u[:, [0, 1, 12, 2, 3]])  # words, characters, linked, dots, shut
+        here = u[at]
+
+        def stats(c: int) -> list[np.ndarray]:
+            i, j = w[:, c].astype(int) + begin, w[:, c + 1].astype(int) + begin
+            i = np.minimum(i, j)
+            s, m = sums[j] - sums[i], np.maximum(j - i, 1)
+            return [j - i, s[:, 0] / m, s[:, 2] / np.maximum(s[:, 1], 1), s[:, 3] / m, s[:, 4] / m, np.log1p(s[:, 0])]
+
+        local = at - begin
+        dist = np.where(headline >= 0, np.clip(local - headline, -20, 40), -30)
+        start, end = local == 0, local == count - 1
+        prev, nxt = u[np.where(start, at, at - 1)], u[np.where(end, at, at + 1)]
+        bits = w[:, 1].astype(int)
+        columns = [
+            here[:, 0], here[:, 1], here[:, 13], here[:, 2], here[:, 3], here[:, 4], here[:, 5], here[:, 6], here[:, 7], here[:, 8], here[:, 14], here[:, 15],
+            w[:, 0], local / count, count, local == headline, dist, w[:, 2], w[:, 14], w[:, 15], end & (closed == 0), closed,
+            *stats(3), *stats(5), *stats(7), *((w[:, 13] == i) for i in range(len(_TAGS))), *((bits & f) > 0 for f in _FLAG.values()),
+            w[:, 9], w[:, 10], w[:, 11], w[:, 12], here[:, 9], here[:, 10], here[:, 11],
+            np.where(start, 0, prev[:, 0]), np.where(end, 0, nxt[:, 0]), np.where(start, 0, prev[:, 13]), np.where(end, 0, nxt[:, 13]), np.where(start, 0, prev[:, 2]), np.where(end, 0, nxt[:, 2]), w[:, 16], w[:, 17], w[:, 18],
+        ]
+        return np.column_stack(columns).astype(float)
+
+    def choose_headlines(self, views: list[View]) -> None:
+        """Give pages without a unit that agrees with the title the likeliest headline, if it is likely enough."""
+        left = [v for v in views if v.headline < 0 and len(self.headlines.split)]
+        wanted = [[i for i, u in enumerate(v.page.units) if u.pieces and not u.in_head] for v in left]
+        p = self.headlines.probabilities(self.features(left, wanted)) if any(wanted) else np.zeros(0)
+        at = 0
+        for v, want in zip(left, wanted):
+            mine = p[at : at + len(want)]
+            at += len(want)
+            if len(want) and mine.max() >= self.least_headline:
+                place_headline(v, want[int(mine.argmax())])
+
+    def kept(self, v: View, found: np.ndarray) -> list[bool]:
+        """Which units are the article, decoded over the tree; ``found`` are the candidates' probabilities."""
+        units, nodes, first, end = v.page.units, v.page.nodes, v.first, v.end
         if not units:
             return []
-        found = self.probabilities(self.features(v)) if p is None else p
-        p = np.zeros(len(units))
-        p[v.candidates()] = found
-        p = np.clip(p, 1e-4, 1 - 1e-4)
+        p = np.full(len(units), 1e-4)
+        p[v.headline : v.headline + len(found)] = np.clip(found, 1e-4, 1 - 1e-4)
         keep_cost, drop_cost = (-np.log(p)).tolist(), (-np.log(1 - p)).tolist()
         keep_to, drop_to = list(accumulate(keep_cost, initial=0.0)), list(accumulate(drop_cost, initial=0.0))
-        mine: dict[int, list[int]] = defaultdict(list)
-        below: dict[int, list[int]] = defaultdict(list)
-        for i, u in enumerate(units):
-            mine[u.node].append(i)
-        best, say = {}, {}
-        for k in sorted(v.spans, reverse=True):  # children come after their parents
-            i, j = v.spans[k][0], v.spans[k][-1] + 1
+        mixed = [self.mixed_cost] * len(nodes)
+        for u, a, b in zip(units, keep_cost, drop_cost):
+            mixed[u.node] += a if a < b else b
+        say = [0] * len(nodes)  # 0 drop, 1 keep, 2 mixed
+        for k in range(len(nodes) - 1, -1, -1):  # children come after their parents
+            i, j = first[k], end[k]
+            if j <= i:
+                continue
             keep, drop = keep_to[j] - keep_to[i], drop_to[j] - drop_to[i]
-            mixed = self.mixed_cost
-            for n in mine.get(k, ()):
-                mixed += min(keep_cost[n], drop_cost[n])
-            for c in below.get(k, ()):
-                mixed += best[c]
-            best[k] = min(keep, drop, mixed)
-            say[k] = "keep" if best[k] == keep else "drop" if best[k] == drop else "mixed"
+            best = min(keep, drop, mixed[k])
+            say[k] = 1 if best == keep else 0 if best == drop else 2
             if k:
-                below[nodes[k].parent].append(k)
-        out = [False] * len(units)
-        stack = [0]
-        while stack:
-            k = stack.pop()
-            if say.get(k) == "keep":
-                for i in v.spans[k]:
-                    out[i] = True
-            elif say.get(k) == "mixed":
-                for i in mine.get(k, ()):
-                    out[i] = keep_cost[i] < drop_cost[i]
-                stack.extend(below.get(k, ()))
-        return [o and not u.in_head for o, u in zip(out, units)]
+                mixed[nodes[k].parent] += best
+        # what an element says holds below it unless it is mixed
+        for k in range(1, len(nodes)):
+            if say[nodes[k].parent] != 2:
+                say[k] = say[nodes[k].parent]
+        return [not u.in_head and (say[u.node] == 1 or (say[u.node] == 2 and a < b)) for u, a, b in zip(units, keep_cost, drop_cost)]
 
     def decoded_pages(self, texts: list[str]) -> list[tuple[View, list[bool]] | None]:
-        """View and kept units of each page, none for what is no page with a headline; one run of the trees for all."""
+        """View and kept units of each page, none for what is no page with a headline; one run of the trees for all.
+
+        Pages are many small objects without cycles, so the collector of cycles rests meanwhile.
+        """
+        on = gc.isenabled()
+        gc.disable()
+        try:
+            return self._decoded_pages(texts)
+        finally:
+            if on:
+                gc.enable()
+
+    def _decoded_pages(self, texts: list[str]) -> list[tuple[View, list[bool]] | None]:
         views = [view(parse(t)) if t and is_html(t) else None for t in texts]
+        self.choose_headlines([v for v in views if v])
         views = [v if v and v.headline >= 0 else None for v in views]
-        x = [self.features(v) for v in views if v]
-        p = self.probabilities(np.vstack(x)) if x else np.zeros(0)
+        found = [v for v in views if v]
+        p = self.trees.probabilities(self.features(found, [v.candidates() for v in found])) if found else np.zeros(0)
         out, at = [], 0
         for v in views:
             if v is None:
@@ -247,31 +318,32 @@ def _up(v: View, k: int) -> list[int]:
 
 
 def weak_labels(v: View, frame: set[str]) -> list[int]:
-    """1 article, 0 frame; see the module's text."""
+    """1 article, 0 frame for each candidate; see the module's text.  A page whose headline doesn't agree with its title has no article here."""
     nodes, units = v.page.nodes, v.page.units
-    out = [0] * len(units)
-    if v.headline < 0:
-        return out
+    if not v.titled:
+        return [0] * len(v.candidates())
     shut_from: dict[int, int] = {}
-    for i, u in enumerate(units):
-        tag = nodes[u.node].tag
-        if i > v.headline and v.inside[i] and tag in ("h1", "h2", "h3", "h4", "h5", "h6") and letters(u.text) in frame:
+    for i in v.candidates():
+        u = units[i]
+        if i > v.headline and nodes[u.node].tag in ("h1", "h2", "h3", "h4", "h5", "h6") and letters(u.text) in frame:
             scope = nodes[u.node].parent if u.node != v.container else v.container
             shut_from.setdefault(max(scope, 0), i)
-    for i, u in enumerate(units):
-        if i < v.headline or not v.inside[i] or u.in_head or not u.pieces and not u.text:
-            continue
-        k, dead = u.node, False
-        while k >= 0:
-            dead = dead or (k in shut_from and i >= shut_from[k])
+    out = []
+    for i in v.candidates():
+        u = units[i]
+        k, dead = u.node, u.in_head or not u.pieces and not u.text
+        while k >= 0 and not dead:
+            dead = k in shut_from and i >= shut_from[k]
             k = nodes[k].parent
         t, tag = u.text, nodes[u.node].tag
-        if dead or (letters(t) in frame and not _cell(v, u)) or u.linked > 0.8 * len(t) or t.rstrip().endswith(("…", "...")) or tag == "button":
+        if dead or (letters(t) in frame and not _cell(v, u)) or u.linked > 0.8 * len(t) or t.endswith(("…", "...")) or tag == "button":
+            out.append(0)
             continue
-        n = len(t.split())
-        own = u.node != v.container
-        if i == v.headline or (own and tag in ("li", "td", "th", "blockquote", "h2", "h3", "h4", "h5")) or (n >= 4 and _SHUT.search(t) and not re.search(r"\(\d+\)\s*$", t[:-1] if n < 7 else "")) or (i == len(units) - 1 and not v.page.closed and n >= 3):
-            out[i] = 1
+        n, own = len(t.split()), u.node != v.container
+        part = own and tag in ("li", "td", "th", "blockquote", "h2", "h3", "h4", "h5")
+        sentence = n >= 4 and _SHUT.search(t) and not re.search(r"\(\d+\)\s*$", t[:-1] if n < 7 else "")
+        broken_off = i == len(units) - 1 and not v.page.closed and n >= 3
+        out.append(int(bool(i == v.headline or part or sentence or broken_off)))
     return out
 
 
@@ -330,33 +402,65 @@ def _views(texts: list[str]) -> list[View]:
     return [view(parse(t)) for t in texts if t and is_html(t)]
 
 
-def _recurring(v: View) -> set[str]:
-    """The texts of a page whose recurrence on other pages is counted."""
-    return {key for i, u in enumerate(v.page.units) if not u.in_head and i != v.headline and not _cell(v, u) and len(key := letters(u.text)) >= 4}
+#: What lies between two pieces of a page, and a page's title; enough to count recurring texts without a tree.
+_BETWEEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:script|style)\b.*?(?:</(?:script|style)\s*>|\Z)|<[^<>]*(?:>|\Z)", re.S | re.I)
+_TITLE = re.compile(r"<title[^<>]*>([^<]*)", re.I)
+
 
+def _title_key(text: str) -> str:
+    m = _TITLE.search(text)
+    return letters(plain(m[1]))[:40] if m else ""
 
-def _title_key(v: View) -> str:
-    return letters(v.page.title)[:40]
 
+def _recurring(text: str) -> set[str]:
+    """The texts between tags of a page, as letters, whose recurrence on other pages is counted."""
+    return {key for t in set(_BETWEEN.split(text)) if len(t) >= 4 and len(key := letters(plain(t))) >= 4}
 
-def frame_texts(pages: DataFrame, views: list[View], frame_pages: int = 3) -> set[str]:
-    """Those texts of ``views`` that stand on ``frame_pages`` of all ``pages`` of different titles.
 
-    Only hashes of a text and a title are shuffled, and only of texts that stand on a page of ``views``.
+def _frame(views: list[View], often: set[str]) -> set[str]:
+    """What recurs, and the units of several pieces all of which recur (but for those of a few letters)."""
+    out = set(often)
+    for v in views:
+        for u in v.page.units:
+            keys = [letters(x) for x in u.parts] if len(u.parts) > 1 else ()
+            if any(k in often for k in keys) and all(k in often or len(k) < 4 for k in keys):
+                out.add(letters(u.text))
+    return out
+
+
+def often_seen(pages: DataFrame, wanted: set[str], frame_pages: int = 3) -> set[str]:
+    """Those texts of ``wanted`` that stand on ``frame_pages`` of all ``pages`` of different titles.
+
+    Pages are only split at tags for this, and only hashes of a text and a title are shuffled, and only of wanted texts.
     """
     import xxhash
 
-    named = {xxhash.xxh3_64_intdigest(k) - (1 << 63): k for k in set().union(*map(_recurring, views))}
-    shared = pages.sparkSession.sparkContext.broadcast(frozenset(named))
+    named = {xxhash.xxh3_64_intdigest(k) - (1 << 63): k for k in wanted}
+    shared = pages.sparkSession.sparkContext.broadcast((frozenset(wanted), max(map(len, wanted), default=0)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, told = shared.value, set()
+        (wanted, longest), told = shared.value, set()
+        known: dict[str, str] = {}  # short texts recur: what is left of them is remembered
         for b in batches:
             new = set()
-            for part in pieces(list(dict.fromkeys(decoded(x, k) for x, k in zip(b.column("body").to_pylist(), b.column("content_type").to_pylist())))):
-                for v in _views(part):
-                    title = xxhash.xxh3_64_intdigest(_title_key(v)) - (1 << 63)
-                    new.update((h, title) for k in _recurring(v) if (h := xxhash.xxh3_64_intdigest(k) - (1 << 63)) in wanted)
+            for text in dict.fromkeys(decoded(x, k) for x, k in zip(b.column("body").to_pylist(), b.column("content_type").to_pylist())):
+                if not is_html(text):
+                    continue
+                found = set()
+                for t in set(_BETWEEN.split(text)):
+                    if 4 <= len(t) <= 4 * longest:
+                        key = known.get(t)
+                        if key is None:
+                            key = letters(plain(t))
+                            key = key if key in wanted else ""
+                            if len(known) > 500_000:
+                                known.clear()
+                            known[t] = key
+                        if key:
+                            found.add(key)
+                if found:
+                    title = xxhash.xxh3_64_intdigest(_title_key(text)) - (1 << 63)
+                    new.update((xxhash.xxh3_64_intdigest(k) - (1 << 63), title) for k in found)
             new -= told
             told = (told if len(told) < 1_000_000 else set()) | new
             yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in new], pa.int64()), pa.array([t for _, t in new], pa.int64())], names=["key", "title"])
@@ -367,33 +471,45 @@ def frame_texts(pages: DataFrame, views: list[View], frame_pages: int = 3) -> se
 
 def fit(texts: list[str], trees: int = 40, depth: int = 4, rate: float = 0.25, frame_pages: int = 3) -> ArticleModel:
     """Fit to sample pages; a text that stands on ``frame_pages`` pages of different titles is frame."""
-    views = _views(texts)
     on: dict[str, set] = defaultdict(set)
-    for v in views:
-        for key in _recurring(v):
-            on[key].add(_title_key(v))
-    return fit_views(views, {k for k, s in on.items() if len(s) >= frame_pages}, trees, depth, rate)
-
-
-def fit_views(views: list[View], frame: set[str], trees: int = 40, depth: int = 4, rate: float = 0.25) -> ArticleModel:
-    """Fit to sample pages; ``frame`` holds their texts that are frame."""
+    good = [t for t in texts if t and is_html(t)]
+    for t in good:
+        for key in _recurring(t):
+            on[key].add(_title_key(t))
+    return fit_views(_views(good), {k for k, s in on.items() if len(s) >= frame_pages}, trees, depth, rate)
+
+
+def fit_views(views: list[View], often: set[str], trees: int = 40, depth: int = 4, rate: float = 0.25) -> ArticleModel:
+    """Fit to sample pages; ``often`` holds their texts that recur."""
+    # the headline and the cells of a table may say what others say
+    own = {letters(v.page.units[v.headline].text) for v in views if v.titled}
+    frame = _frame(views, often - own)
     labels = [weak_labels(v, frame) for v in views]
     good_n, bad_n, good_w, bad_w = Counter(), Counter(), Counter(), Counter()
     for v, y in zip(views, labels):
-        for u, l in zip(v.page.units, y):
+        yes = {i for i, l in zip(v.candidates(), y) if l}
+        for i, u in enumerate(v.page.units):
             k, names = u.node, set()
             while k > 0:
                 names.update(v.page.nodes[k].names)
                 k = v.page.nodes[k].parent
-            (good_n if l else bad_n).update(names)
+            (good_n if i in yes else bad_n).update(names)
             low = [w.lower() for w in _LETTERS.findall(u.text)]
-            (good_w if l else bad_w).update({*low, ("^", *low[:2])})
+            (good_w if i in yes else bad_w).update({*low, ("^", *low[:2])})
     model = ArticleModel(_token_odds(good_n, bad_n, 5), _token_odds(good_w, bad_w, 5))
-    if not views or not any(any(y) for y in labels):
+    titled = [v for v in views if v.titled]
+    if not any(any(y) for y in labels):
         return model
-    x = np.vstack([model.features(v) for v in views if v.headline >= 0])
-    y = np.array([row[i] for v, row in zip(views, labels) for i in v.candidates()], float)
-    model.split, model.cut, model.leaf, model.base = _boost(x, y, trees, depth, rate)
+    # where headlines stand and what they look like, as if no title had told; of the other units every fourth is enough to learn that
+    blind = [View(v.page, -1, -1, v.first, v.end, False) for v in titled]
+    wanted = [[i for i, u in enumerate(v.page.units) if u.pieces and not u.in_head and (i == t.headline or (i + n) % 4 == 0)] for n, (v, t) in enumerate(zip(blind, titled))]
+    y = np.array([float(i == v.headline) for v, want in zip(titled, wanted) for i in want])
+    model.headlines = Trees(*_boost(model.features(blind, wanted), y, trees // 4, depth, rate))
+    model.choose_headlines(views)
+    found = [v for v in views if v.headline >= 0]
+    x = model.features(found, [v.candidates() for v in found])
+    y = np.array([l for v in found for l in weak_labels(v, frame)], float)
+    model.trees = Trees(*_boost(x, y, trees, depth, rate))
     return model
 
 
@@ -407,11 +523,15 @@ def captures(warc: DataFrame, fetches: DataFrame) -> DataFrame:
     return w.unionByName(p).where(F.col("good") & F.col("capture_id").isNotNull() & (F.octet_length("body") > 0)).drop("good")
 
 
-def fit_to(pages: DataFrame, most_pages: int = 2000) -> ArticleModel:
-    """Fit to the ``most_pages`` captures with the least hash of their id; what is frame on them is counted over all captures."""
-    sample = hash_sample(pages, "capture_id", most_pages).select("body", "content_type").collect()
-    views = _views([decoded(bytes(r.body), r.content_type) for r in sample])
-    return fit_views(views, frame_texts(pages, views))
+def fit_to(pages: DataFrame, most_pages: int = 2000, most_page_bytes: int = 200_000) -> ArticleModel:
+    """Fit to the ``most_pages`` captures of at most ``most_page_bytes`` with the least hash of their id; what is frame on them is counted over all captures.
+
+    Bounds hold for the sample that trains, of at most their product in bytes; every page is counted and every page gets its article.
+    """
+    sample = hash_sample(pages.where(F.octet_length("body") <= most_page_bytes), "capture_id", most_pages, pages.select("capture_id")).select("body", "content_type").collect()
+    good = [t for t in (decoded(bytes(r.body), r.content_type) for r in sample) if t and is_html(t)]
+    wanted = set().union(*map(_recurring, good))
+    return fit_views(_views(good), often_seen(pages, wanted))
 
 
 def article_pieces(pages: DataFrame, model: ArticleModel) -> DataFrame:

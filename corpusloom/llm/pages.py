@@ -41,6 +41,7 @@ class Unit:
     linked: int = 0
     in_head: bool = False
     atoms: int = 0
+    parts: list[str] = field(default_factory=list)
 
 
 @dataclass
@@ -136,6 +137,7 @@ def parse(text: str) -> Page:
         u = open_unit
         if letters:
             u.pieces.append(n)
+            u.parts.append(t)
             n += 1
         u.text = f"{u.text} {t}" if u.text else t
         if in_link[here]:

@@ -18,9 +18,12 @@ _INVISIBLE = re.compile("[­​-‏⁠﻿]")
 SLOT_ROWS = 1024
 
 
-def hash_sample(rows: DataFrame, id_col: str, most: int) -> DataFrame:
-    """The ``most`` rows with the least hash of their id, for fitting a model; about all that leave the executors is the sample itself."""
-    total = rows.count()
+def hash_sample(rows: DataFrame, id_col: str, most: int, ids: DataFrame | None = None) -> DataFrame:
+    """The ``most`` rows with the least hash of their id, for fitting a model; about all that leave the executors is the sample itself.
+
+    ``ids`` is counted in the rows' place if given, where counting the rows would read more than ids.
+    """
+    total = (rows if ids is None else ids).count()
     share = min(1.0, 2.0 * most / max(total, 1))
     place = F.pmod(F.xxhash64(F.lit(97), F.col(id_col)), F.lit(1 << 40))
     return rows.where(place < F.lit(int(share * (1 << 40)))).orderBy(place, id_col).limit(most)

@@ -1,4 +1,5 @@
 import itertools
+import re
 import os
 import random
 
@@ -90,6 +91,11 @@ def test_articles(spark):
         else:
             assert not found
     assert hits > 0.9 * total > 10
+    # an article keeps its pieces under a title that says something else, and behind a long comment
+    found = [(t, a) for t in texts if (a := model.article(t))]
+    other = model.articles([re.sub(r"(<title[^<>]*>)[^<]*", r"\1Murakaza neza", t, count=1, flags=re.I) for t, _ in found])
+    assert sum(o == a for o, (_, a) in zip(other, found)) > 0.85 * len(found) > 10
+    assert all(model.article(f"<!-- {'x' * 5000} -->" + t) == a for t, a in found[:5])
     assert articles.ArticleModel().article("<p>x</p>") == [] and articles.fit([]).article("") == []
     rows = spark.createDataFrame([(1, None, bytearray(b"")), (2, "text/html", bytearray(PAGE.encode())), (2, "text/html", bytearray(PAGE.encode())), (3, None, None)], "capture_id long, content_type string, body binary")
     got = articles.article_pieces(rows, model).collect()
