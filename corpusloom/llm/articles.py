@@ -34,6 +34,7 @@ from .words import hash_sample, pieces
 _LETTERS = re.compile(r"[^\W\d_]+")
 _DIGITS = re.compile(r"\d+")
 _COUNTED = re.compile(r"\(\d+\)\s*$")
+_SHUTS = frozenset(".!?)%»\"”")
 _SHUT = re.compile(r"[.!?)%»\"”]\s*$")
 #: Fixed values of HTML: elements that a unit may stand in, and that may stand around it.
 _TAGS = ("p", "div", "span", "li", "td", "h1", "h2", "h3", "h4", "blockquote", "button", "center", "body", "section", "aside")
@@ -134,7 +135,7 @@ class ArticleModel:
     trees: Trees = field(default_factory=Trees)
     headlines: Trees = field(default_factory=Trees)
     mixed_cost: float = 0.5
-    least_headline: float = 0.5
+    least_headline: float = 0.2
     texts: dict = field(default_factory=dict)
 
     def __getstate__(self):
@@ -146,10 +147,10 @@ class ArticleModel:
         if found is None:
             table, split = self.words, t.split()
             low = _LETTERS.findall(t.lower())
-            lw = [table[w] for w in low if w in table]
+            lw = [x for x in map(table.get, low) if x is not None]
             found = (
-                len(split), len(t), t.endswith(("…", "...")), _SHUT.search(t) is not None, sum(map(len, _DIGITS.findall(t))) / max(len(t), 1), sum(map(str.isupper, [w[0] for w in split])) / max(len(split), 1),
-                "|" in t, "©" in t, bool(_COUNTED.search(t)), sum(lw) / len(lw) if lw else 0.0, min(lw, default=0.0), table.get(("^", *low[:2]), 0.0),
+                len(split), len(t), t.endswith(("…", "...")), t[-1:] in _SHUTS, sum(map(len, _DIGITS.findall(t))) / max(len(t), 1), sum([w[0].isupper() for w in split]) / max(len(split), 1),
+                "|" in t, "©" in t, t[-1:] == ")" and bool(_COUNTED.search(t)), sum(lw) / len(lw) if lw else 0.0, min(lw, default=0.0), table.get(("^", *low[:2]), 0.0),
             )
             if len(t) < 120:
                 if len(self.texts) > 200_000:
@@ -166,34 +167,42 @@ class ArticleModel:
             nodes, units = v.page.nodes, v.page.units
             if not len(want):
                 continue
-            u0 = len(unit)
-            unit.extend([(*text(u.text), min(u.linked, len(u.text)), u.linked / max(len(u.text), 1), u.in_head, len(u.pieces)) for u in units])
+            # only what is around the wanted units counts: the elements below the top one, and the units two elements further up, with their neighbours
+            top = v.container if v.headline >= 0 and want[0] >= v.headline else 0
+            above = [top]
+            while above[-1] > 0:
+                above.append(nodes[above[-1]].parent)
+            out = above[min(2, len(above) - 1)]
+            lo, hi = max(v.first[out] - 1, 0), min(v.end[out] + 1, len(units))
+            u0 = len(unit) - lo
+            unit.extend([(*text(u.text), min(u.linked, len(u.text)), u.linked / max(len(u.text), 1), u.in_head, len(u.pieces)) for u in units[lo:hi]])
             chain, k = {}, units[v.headline].node if v.headline >= 0 else -1
             while k >= 0:
                 chain[k] = len(chain)
                 k = nodes[k].parent
-            flags, odds, meets = [0], [(0.0, 0, 0.0, 0.0)], [chain.get(0, 12)]
-            own = [(0.0, 0)]
-            for k in range(1, len(nodes)):  # parents come first
+            flags, odds, meets, own = {0: 0}, {0: (0.0, 0, 0.0, 0.0)}, {0: chain.get(0, 12)}, {0: (0.0, 0)}
+            for k in (*reversed(above), *range(top + 1, max(units[i].node for i in want) + 1)):  # parents come first
+                if k == 0:
+                    continue
                 d = nodes[k]
                 up = d.parent
-                flags.append(flags[up] | _FLAG.get(d.tag, 0))
-                meets.append(chain[k] if k in chain else meets[up])
+                flags[k] = flags[up] | _FLAG.get(d.tag, 0)
+                meets[k] = chain[k] if k in chain else meets[up]
                 found = [table[x] for x in d.names if x in table] if d.names else ()
-                own.append((sum(found), len(found)))
                 if found:
+                    own[k] = (sum(found), len(found))
                     total, n, low, high = odds[up]
-                    odds.append((total + own[k][0], n + len(found), min(found) if not n else min(low, *found), max(found) if not n else max(high, *found)))
+                    odds[k] = (total + own[k][0], n + len(found), min(found) if not n else min(low, *found), max(found) if not n else max(high, *found))
                 else:
-                    odds.append(odds[up])
+                    own[k], odds[k] = (0.0, 0), odds[up]
             for i in want:
                 k = units[i].node
                 up = max(nodes[k].parent, 0)
-                top = max(nodes[up].parent, 0)
+                over = max(nodes[up].parent, 0)
                 d, o, w, z = nodes[k], odds[k], own[k], own[up]
                 before, after = units[i - 1].node if i else -1, units[i + 1].node if i + 1 < len(units) else -1
                 node.append((
-                    d.depth, flags[k], meets[k], v.first[k], v.end[k], v.first[up], v.end[up], v.first[top], v.end[top], o[0] / max(o[1], 1), o[2], o[3], (w[0] + z[0]) / max(w[1] + z[1], 1), _TAG_NO.get(d.tag, -1),
+                    d.depth, flags[k], meets[k], v.first[k], v.end[k], v.first[up], v.end[up], v.first[over], v.end[over], o[0] / max(o[1], 1), o[2], o[3], (w[0] + z[0]) / max(w[1] + z[1], 1), _TAG_NO.get(d.tag, -1),
                     k == v.container, up == v.container, before >= 0 and nodes[before].tag[:1] == "h", after == k, before == k,
                 ))
             pick.extend([u0 + i for i in want])
@@ -479,7 +488,7 @@ def fit(texts: list[str], trees: int = 40, depth: int = 4, rate: float = 0.25, f
     return fit_views(_views(good), {k for k, s in on.items() if len(s) >= frame_pages}, trees, depth, rate)
 
 
-def fit_views(views: list[View], often: set[str], trees: int = 40, depth: int = 4, rate: float = 0.25) -> ArticleModel:
+def fit_views(views: list[View], often: set[str], trees: int = 40, depth: int = 4, rate: float = 0.25, headline_trees: int = 12) -> ArticleModel:
     """Fit to sample pages; ``often`` holds their texts that recur."""
     # the headline and the cells of a table may say what others say
     own = {letters(v.page.units[v.headline].text) for v in views if v.titled}
@@ -500,11 +509,11 @@ def fit_views(views: list[View], often: set[str], trees: int = 40, depth: int =
     titled = [v for v in views if v.titled]
     if not any(any(y) for y in labels):
         return model
-    # where headlines stand and what they look like, as if no title had told; of the other units every fourth is enough to learn that
+    # where headlines stand and what they look like, as if no title had told
     blind = [View(v.page, -1, -1, v.first, v.end, False) for v in titled]
-    wanted = [[i for i, u in enumerate(v.page.units) if u.pieces and not u.in_head and (i == t.headline or (i + n) % 4 == 0)] for n, (v, t) in enumerate(zip(blind, titled))]
+    wanted = [[i for i, u in enumerate(v.page.units) if u.pieces and not u.in_head] for v in blind]
     y = np.array([float(i == v.headline) for v, want in zip(titled, wanted) for i in want])
-    model.headlines = Trees(*_boost(model.features(blind, wanted), y, trees // 4, depth, rate))
+    model.headlines = Trees(*_boost(model.features(blind, wanted), y, headline_trees, depth, rate))
     model.choose_headlines(views)
     found = [v for v in views if v.headline >= 0]
     x = model.features(found, [v.candidates() for v in found])
