@@ -17,6 +17,7 @@ article.  Sample pages without a unit that agrees with the title count as pages
 from __future__ import annotations
 
 import gc
+import html
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -65,7 +66,7 @@ def view(page: Page) -> View:
     """Find the headline (the first unit that begins the title, or that the title begins) and the element around it that holds more text."""
     title, headline = letters(page.title), -1
     for i, u in enumerate(page.units) if title else ():
-        if not u.in_head and u.pieces:
+        if not u.in_head and u.pieces and len(u.text) >= 12 and next((c for c in u.text if c.isalpha()), "").lower()[:1] == title[0]:
             t = letters(u.text)
             if len(t) >= 12 and (title.startswith(t) or (len(title) >= 30 and t.startswith(title))):
                 headline = i
@@ -421,9 +422,18 @@ def _title_key(text: str) -> str:
     return letters(plain(m[1]))[:40] if m else ""
 
 
+_NO_LETTERS = re.compile(r"[^\w\x1e]+|[\d_]+")
+
+
+def _pieces_as_letters(text: str) -> set[str]:
+    """What is left of the texts between tags of a page if only letters count."""
+    t = _BETWEEN.sub("\x1e", text.lower())
+    return set(_NO_LETTERS.sub("", html.unescape(t).lower() if "&" in t else t).split("\x1e"))
+
+
 def _recurring(text: str) -> set[str]:
-    """The texts between tags of a page, as letters, whose recurrence on other pages is counted."""
-    return {key for t in set(_BETWEEN.split(text)) if len(t) >= 4 and len(key := letters(plain(t))) >= 4}
+    """The texts of a page whose recurrence on other pages is counted."""
+    return {key for key in _pieces_as_letters(text) if len(key) >= 4}
 
 
 def _frame(views: list[View], often: set[str]) -> set[str]:
@@ -445,36 +455,21 @@ def often_seen(pages: DataFrame, wanted: set[str], frame_pages: int = 3) -> set[
     import xxhash
 
     named = {xxhash.xxh3_64_intdigest(k) - (1 << 63): k for k in wanted}
-    shared = pages.sparkSession.sparkContext.broadcast((frozenset(wanted), max(map(len, wanted), default=0)))
+    shared = pages.sparkSession.sparkContext.broadcast(frozenset(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (wanted, longest), told = shared.value, set()
-        known: dict[str, str] = {}  # short texts recur: what is left of them is remembered
+        wanted, told = shared.value, set()
         for b in batches:
             new = set()
             for text in dict.fromkeys(decoded(x, k) for x, k in zip(b.column("body").to_pylist(), b.column("content_type").to_pylist())):
-                if not is_html(text):
-                    continue
-                found = set()
-                for t in set(_BETWEEN.split(text)):
-                    if 4 <= len(t) <= 4 * longest:
-                        key = known.get(t)
-                        if key is None:
-                            key = letters(plain(t))
-                            key = key if key in wanted else ""
-                            if len(known) > 500_000:
-                                known.clear()
-                            known[t] = key
-                        if key:
-                            found.add(key)
-                if found:
+                if found := is_html(text) and _pieces_as_letters(text) & wanted:
                     title = xxhash.xxh3_64_intdigest(_title_key(text)) - (1 << 63)
                     new.update((xxhash.xxh3_64_intdigest(k) - (1 << 63), title) for k in found)
             new -= told
             told = (told if len(told) < 1_000_000 else set()) | new
             yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in new], pa.int64()), pa.array([t for _, t in new], pa.int64())], names=["key", "title"])
 
-    on = pages.select("content_type", "body").mapInArrow(run, "key bigint, title bigint").distinct().groupBy("key").agg(F.count("*").alias("n"))
+    on = pages.where(F.octet_length("body") > 0).select("content_type", "body").mapInArrow(run, "key bigint, title bigint").distinct().groupBy("key").agg(F.count("*").alias("n"))
     return {named[r.key] for r in on.where(F.col("n") >= frame_pages).select("key").collect()}
 
 
@@ -523,13 +518,13 @@ def fit_views(views: list[View], often: set[str], trees: int = 40, depth: int =
 
 
 def captures(warc: DataFrame, fetches: DataFrame) -> DataFrame:
-    """``capture_id, url, content_type, body`` of all captures that hold a page: answered with 200 (or unstated) and not empty."""
+    """``capture_id, url, content_type, body`` of all captures that may hold a page: answered with 200 (or unstated).  No body is read to tell that."""
     w = warc.select(
         "capture_id", F.col("target_url").alias("url"), F.element_at("http_headers", "content-type").alias("content_type"), "body",
         (F.coalesce("http_status", F.lit(200)) == 200) & F.coalesce(F.col("warc_type") == "response", F.lit(True)),
     ).toDF("capture_id", "url", "content_type", "body", "good")
     p = fetches.select("capture_id", "url", "content_type", F.coalesce("content", "html_bytes").alias("body"), F.coalesce("status_code", F.lit(200)) == 200).toDF("capture_id", "url", "content_type", "body", "good")
-    return w.unionByName(p).where(F.col("good") & F.col("capture_id").isNotNull() & (F.octet_length("body") > 0)).drop("good")
+    return w.unionByName(p).where(F.col("good") & F.col("capture_id").isNotNull()).drop("good")
 
 
 def fit_to(pages: DataFrame, most_pages: int = 2000, most_page_bytes: int = 200_000) -> ArticleModel:
@@ -568,7 +563,7 @@ def article_pieces(pages: DataFrame, model: ArticleModel) -> DataFrame:
                 at += len(part)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.int64())], names=["capture_id", "piece_no"])
 
-    rows = pages.select(F.col("capture_id").cast("long").alias("capture_id"), "content_type", "body")
+    rows = pages.where(F.octet_length("body") > 0).select(F.col("capture_id").cast("long").alias("capture_id"), "content_type", "body")
     return rows.mapInArrow(run, "capture_id bigint, piece_no bigint").distinct()
 
 

@@ -7,7 +7,7 @@ import re
 from dataclasses import dataclass, field
 
 _MARK = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style)\b[^<>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^<>\"']|\"[^\"<>]*\"|'[^'<>]*')*)>|<(/?)([a-zA-Z][\w:-]*)([^<>]*)(?:>|\Z)|<[!?][^<>]*(?:>|\Z)", re.S | re.I
+    r"<!--.*?(?:-->|\Z)|<(script|style)\b[^<>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)([^<>\"']*(?:(?:\"[^\"<>]*\"|'[^'<>]*')[^<>\"']*)*)>|<(/?)([a-zA-Z][\w:-]*)([^<>]*)(?:>|\Z)|<[!?][^<>]*(?:>|\Z)", re.S | re.I
 )
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[^\W_]+")
