@@ -91,6 +91,12 @@ def p6_token_totals(spark: SparkSession, d: str) -> DataFrame:
     return tokens.token_totals(stage(tokens.document_tokens(_t(spark, d, "extracted_docs"), _t(spark, d, "enriched_meta")), "p6"))
 
 
+def p6_claims(spark: SparkSession, d: str) -> DataFrame:
+    """What the totals say besides the exact counts: documents and claimed tokens of every slice, and whether exact tokens were counted for all of it."""
+    t = p6_token_totals(spark, d)
+    return t.select("slice", "source", "lang", "domain", "docs", "meta_tokens", (F.col("tokens") > 0).alias("counted"))
+
+
 def p6_document_tokens(spark: SparkSession, d: str) -> DataFrame:
     return tokens.document_tokens(_t(spark, d, "extracted_docs"), _t(spark, d, "enriched_meta"))
 
@@ -113,6 +119,21 @@ def p7_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.containers(packing.pack(_document_sizes(spark, d), _t(spark, d, "pack_profiles")))
 
 
+def p7_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of the assignment, per profile: documents placed, and those or containers that break a rule."""
+    sizes, profiles = _document_sizes(spark, d), _t(spark, d, "pack_profiles").where("capacity_tokens > 0 AND profile IS NOT NULL")
+    packed = stage(packing.pack(sizes, profiles), "p7-packed")
+    one = packed.groupBy("profile", "container").agg(F.sum("tokens").alias("sum"), F.first("used").alias("used"), F.first(F.col("used") + F.col("unused")).alias("capacity"))
+    full = one.groupBy("profile").agg(F.count_if(F.col("sum") > F.col("capacity")).alias("overfull"), F.count_if(F.col("sum") != F.col("used")).alias("misreported"), (F.sum(F.col("capacity") - F.col("sum")) / F.sum("capacity") < 0.01).alias("waste_below_a_hundredth"))
+    need = sizes.join(F.broadcast(profiles.select("profile", "capacity_tokens", "eos_tokens").limit(1000))).select("profile", "doc_id", "capacity_tokens", (F.col("n_tokens") + F.coalesce("eos_tokens", F.lit(0))).alias("need")).where("n_tokens > 0")
+    docs = packed.groupBy("profile", "doc_id").agg(F.count("*").alias("pieces"), F.sum("tokens").alias("sum"))
+    both = need.join(docs, ["profile", "doc_id"], "full")
+    rules = both.groupBy("profile").agg(
+        F.count("pieces").alias("placed"), F.count_if(F.col("pieces").isNull() | F.col("need").isNull()).alias("missing"), F.count_if(F.col("sum") != F.col("need")).alias("lost_tokens"), F.count_if((F.col("need") <= F.col("capacity_tokens")) & (F.col("pieces") > 1)).alias("split_though_fitting")
+    )
+    return rules.join(full, "profile")
+
+
 def _sized(spark: SparkSession, d: str) -> DataFrame:
     docs = _t(spark, d, "documents")
     model = subjects.fit(docs, _t(spark, d, "subject_reference"), iterations=0, refinements=0)
@@ -128,6 +149,14 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares_reached(mixing.mix(sized, targets), sized, targets)
 
 
+def p8_checks(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of the mix, per target source: uses above the cap, and whether its share is off the target (dealt anew among sources that have documents) by more than a thousandth."""
+    s = p8_shares(spark, d)
+    have = s.where("tokens_available > 0").agg(F.sum("target_share").alias("all"))
+    goal = F.when(F.col("tokens_available") > 0, F.col("target_share") / F.col("all")).otherwise(0.0)
+    return s.join(F.broadcast(have)).select("source", "max_repeats", "docs_available", (F.col("most_uses") > F.col("max_repeats")).alias("too_often"), (F.abs(F.col("actual_share") - goal) > 0.001).alias("off"))
+
+
 def _subjects(spark: SparkSession, d: str) -> DataFrame:
     docs = _t(spark, d, "documents")
     return subjects.document_subjects(docs, subjects.fit(docs, _t(spark, d, "subject_reference")))

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Copies of the (small) table of repeated lines in the join back to documents, so that one line in a third of all documents is
-#: spread over as many tasks.
-JOIN_SALTS = 8
+from ..session import stage
+
+#: Documents of one line that a task of the join back to documents has; a line of more is dealt to as many tasks as that takes.
+DOCS_PER_TASK = 200_000
 
 
 def line_keys(text: Column, min_letters: int) -> Column:
@@ -64,13 +65,15 @@ def repeated_lines(docs: DataFrame, meta: DataFrame, min_docs: int = 6, min_clus
     Null ids, null texts and documents without a domain have no rows; an empty text is one empty line and has none either; a null
     time counts as the earliest; rows delivered again count once; a line twice in a document counts once but is reported twice.
     """
-    prints = fingerprints(docs, meta, min_letters)
-    hot = line_statistics(prints).where((F.col("docs") >= min_docs) & (F.col("clusters") >= min_clusters) & (F.col("days") >= min_days))
-    hot = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(JOIN_SALTS - 1))))
+    # counted and joined back: documents are hashed and shuffled once for both
+    prints = stage(fingerprints(docs, meta, min_letters), "p1-prints")
+    hot = stage(line_statistics(prints).where((F.col("docs") >= min_docs) & (F.col("clusters") >= min_clusters) & (F.col("days") >= min_days)), "p1-lines")
+    salts = max(1, -(-(hot.agg(F.max("docs")).first()[0] or 0) // DOCS_PER_TASK))
+    hot = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     lines = (
         prints.select("doc_id", "domain", F.posexplode("keys").alias("line_no", "key"))
         .where(F.col("key").isNotNull())
-        .select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.xxhash64("domain", "key").alias("line"), F.pmod(F.hash("doc_id"), F.lit(JOIN_SALTS)).alias("salt"))
+        .select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.xxhash64("domain", "key").alias("line"), F.pmod(F.hash("doc_id"), F.lit(salts)).alias("salt"))
     )
     return lines.join(hot, ["line", "salt"]).select("doc_id", "line_no", "docs", "clusters", "days")
 
@@ -81,11 +84,15 @@ def without_repeated_lines(docs: DataFrame, meta: DataFrame, **limits: int) -> D
     A null text stays null; a document all of whose lines are removed gets an empty text; documents without a domain stay whole.
     """
     found = repeated_lines(docs, meta, **limits).groupBy("doc_id").agg(F.collect_set("line_no").alias("gone"))
-    latest = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.struct("fetched_at", F.xxhash64("text").alias("h"), "text")).alias("r"))
-    lines = F.split(F.col("r.text"), "\n")
+    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", "fetched_at", F.xxhash64("text").alias("text_hash"), "text")
+    # which delivery counts is told without its text, which then travels once, to its document's lines
+    newest = rows.groupBy("doc_id").agg(F.max(F.struct("fetched_at", "text_hash")).alias("r"))
+    same = F.col("fetched_at").eqNullSafe(F.col("r.fetched_at")) & F.col("text_hash").eqNullSafe(F.col("r.text_hash"))
+    latest = rows.join(newest, "doc_id").where(same).dropDuplicates(["doc_id"]).select("doc_id", "text")
+    lines = F.split("text", "\n")
     kept = F.filter(lines, lambda _, i: ~F.array_contains("gone", i.cast("long")))
     return latest.join(found, "doc_id", "left").select(
         "doc_id",
-        F.when(F.col("gone").isNull(), F.col("r.text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("removed_lines"),
     )
