@@ -10,16 +10,12 @@ ever ranked, whatever the size of a source.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .subjects import SubjectModel
-from .tokens import Tokenizer, lang_label, source_label, token_counts
+from .tokens import LANG_CODES, Tokenizer, lang_label, source_label, token_counts
 
 #: Bins of the draw per source; one bin holds about this part of a source.
 BINS = 4096
@@ -65,45 +61,16 @@ def rake(cells: pd.DataFrame, shares: dict[str, float], repeats: dict[str, int],
     return c.assign(uses=w / c["tokens"].to_numpy(float)), size
 
 
-def sized_documents(docs: DataFrame, model: SubjectModel | None, tokenizer: Tokenizer | None = None, max_chunk_chars: int = 20_000) -> DataFrame:
-    """``doc_id, source, lang, topic, n_tokens``: what the mix needs of a document.
+def sized_documents(docs: DataFrame, topics: DataFrame | None, tokenizer: Tokenizer | None = None) -> DataFrame:
+    """``doc_id, source, lang, topic, n_tokens``: what the mix needs of a document; ``topics`` has ``doc_id, topic``, one row each.
 
-    Texts up to ``max_chunk_chars`` are counted and classified in one pass; longer ones are counted chunk by chunk on all workers.
+    Labels of languages that the corpus doesn't name are one (``other``), so the cells of the mix are few whatever labels say.
     """
-    if model is None:
-        n = token_counts(docs.withColumn("topic", F.lit("none")), ["doc_id", "source", "lang", "topic"], tokenizer=tokenizer, max_chunk_chars=max_chunk_chars)
-    else:
-        tok = tokenizer or Tokenizer()
-        shared = docs.sparkSession.sparkContext.broadcast(model)
-        kind = dict(docs.dtypes)["doc_id"]
-
-        def topics(m: SubjectModel, texts: list) -> list[str]:
-            share = m.shares(texts)
-            best = share.argmax(1)
-            return [m.subjects[j] if share[i, j] > 0 else "none" for i, j in enumerate(best)]
-
-        def run(count: bool):
-            def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                m, encode = shared.value, tok.load().encode_ordinary if count else None
-                from .words import pieces
-
-                for b in batches:
-                    texts = b.column("text").to_pylist()
-                    named = [x for part in pieces(texts) for x in topics(m, part)]
-                    cols = [b.column("doc_id"), b.column("source"), b.column("lang"), pa.array(named, pa.string())]
-                    if count:
-                        yield pa.RecordBatch.from_arrays([*cols, pa.array([len(encode(t)) if t else 0 for t in texts], pa.int64())], names=["doc_id", "source", "lang", "topic", "n_tokens"])
-                    else:
-                        yield pa.RecordBatch.from_arrays([*cols, b.column("text")], names=["doc_id", "source", "lang", "topic", "text"])
-
-            return each
-
-        cols = docs.select("doc_id", "source", "lang", "text")
-        ddl = f"doc_id {kind}, source string, lang string, topic string"
-        short = cols.where(F.col("text").isNull() | (F.length("text") <= max_chunk_chars)).mapInArrow(run(True), f"{ddl}, n_tokens bigint")
-        long = cols.where(F.length("text") > max_chunk_chars).mapInArrow(run(False), f"{ddl}, text string")
-        n = short.unionByName(token_counts(long, ["doc_id", "source", "lang", "topic"], tokenizer=tok, max_chunk_chars=max_chunk_chars))
-    return n.where(F.col("doc_id").isNotNull()).select("doc_id", source_label(F.col("source")).alias("source"), F.coalesce(lang_label(F.col("lang")), F.lit("none")).alias("lang"), "topic", "n_tokens")
+    n = token_counts(docs.where(F.col("doc_id").isNotNull()), ["doc_id", "source", "lang"], tokenizer=tokenizer)
+    n = n.withColumn("topic", F.lit("none")) if topics is None else n.join(topics, "doc_id", "left")
+    lang = lang_label(F.col("lang"))
+    lang = F.when(lang.isNull(), "none").when(lang.isin(*LANG_CODES.values(), "zxx_Latn"), lang).otherwise("other")
+    return n.select("doc_id", source_label(F.col("source")).alias("source"), lang.alias("lang"), F.coalesce("topic", F.lit("none")).alias("topic"), "n_tokens")
 
 
 def mix(sized: DataFrame, targets: DataFrame, total: float | None = None, seed: int = 0) -> DataFrame:
@@ -123,6 +90,7 @@ def mix(sized: DataFrame, targets: DataFrame, total: float | None = None, seed:
     fitted, _ = rake(cells, shares, repeats, total)
     schema = "source string, lang string, topic string, whole bigint, part double"
     rows = [(r.source, r.lang, r.topic, int(np.floor(r.uses + 1e-9)), float(max(0.0, r.uses - np.floor(r.uses + 1e-9)))) for r in fitted.itertuples()]
+    # cells are sources with a target, the known languages and the reference's subjects at most
     cell_uses = F.broadcast(spark.createDataFrame(rows, schema))
     u = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
     drawn = usable.join(cell_uses, ["source", "lang", "topic"]).withColumn("rank", u / F.greatest("part", F.lit(1e-12)))

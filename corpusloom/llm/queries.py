@@ -134,10 +134,14 @@ def p7_checks(spark: SparkSession, d: str) -> DataFrame:
     return rules.join(full, "profile")
 
 
+def _subject_words(spark: SparkSession, d: str) -> tuple[DataFrame, subjects.SubjectModel]:
+    """Documents tokenized once, and the model of subjects fitted to all of them."""
+    words = stage(subjects.tokenized(_t(spark, d, "documents"), ["doc_id"]), "subject-words")
+    return words, subjects.fit(words, _t(spark, d, "subject_reference"))
+
+
 def _sized(spark: SparkSession, d: str) -> DataFrame:
-    docs = _t(spark, d, "documents")
-    model = subjects.fit(docs, _t(spark, d, "subject_reference"), iterations=0, refinements=0)
-    return stage(mixing.sized_documents(docs, model), "p8")
+    return stage(mixing.sized_documents(_t(spark, d, "documents"), subjects.main_subject(*_subject_words(spark, d))), "p8")
 
 
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -158,8 +162,7 @@ def p8_checks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _subjects(spark: SparkSession, d: str) -> DataFrame:
-    docs = _t(spark, d, "documents")
-    return subjects.document_subjects(docs, subjects.fit(docs, _t(spark, d, "subject_reference")))
+    return subjects.document_subjects(*_subject_words(spark, d))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:

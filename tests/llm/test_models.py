@@ -1,10 +1,12 @@
 import itertools
-import re
 import os
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm import articles, language, near_duplicates, pages, pairs, subjects
 
@@ -144,4 +146,20 @@ def test_subjects(spark):
     got = {(r.doc_id, r.subject) for r in subjects.document_subjects(rows, model).collect()}
     assert {i for i, _ in got} == {3, 5} and {s for i, s in got if i == 3} == {s for i, s in got if i == 5}
     assert subjects.document_subjects(rows.limit(0), model).count() == 0
-    assert subjects.fit(rows, ref.limit(0)).subjects == []
+    # the same from words that were hashed before
+    words = subjects.tokenized(rows.withColumn("words", F.lit("x")), ["doc_id"])
+    assert {(r.doc_id, r.subject) for r in subjects.document_subjects(words, model).collect()} == got
+    topic = {r.doc_id: r.topic for r in subjects.main_subject(rows, model).collect()}
+    assert topic[1] == topic[2] == topic[4] == "none" and (3, topic[3]) in got and set(topic) == {1, 2, 3, 4, 5}
+    none = subjects.fit(rows, ref.limit(0))
+    assert none.subjects == [] and subjects.document_subjects(rows, none).count() == 0 and {r.topic for r in subjects.main_subject(rows, none).collect()} == {"none"}
+    with pytest.raises(ValueError, match="most_terms"):
+        subjects.fit(docs, known, most_terms=10)
+
+
+@needs_data
+def test_terms_against_counting(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    want = Counter(w for r in docs.collect() if r.text for w in {h for h in subjects.hashed([r.text], subjects._Hashes())[0].tolist() if h})
+    got = {r.word: r.df for r in subjects.document_frequencies(docs.repartition(3)).collect()}
+    assert got.pop(subjects.END_HASH) == docs.where("length(text) > 0").count() and got == want
