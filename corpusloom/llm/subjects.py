@@ -5,7 +5,7 @@ is a subspace iteration started from the span of the labelled reference centroid
 basis by A'A, which gives words that the reference never shows the coordinates of the subject words they occur with; passes go on until held-out
 reference texts are told right or the subspace settles.  A sentence is embedded in the decomposed space as the weighted sum of its subject words and gets the subject of
 the nearest centroid by cosine similarity.  Seed centroids, one per subject and language, are refined from the sentences assigned to them, in passes
-over all documents, until assignments settle.  A document has the subjects of at least ``min_share`` of its sentences.
+over all documents, until they settle.  A document has the subjects of at least ``min_share`` of its sentences.
 
 Texts are tokenized once (:func:`tokenized`); all passes work on the hashes of their words.
 """
@@ -87,7 +87,7 @@ def _words_of(docs: DataFrame) -> DataFrame:
     return docs.select("words") if "words" in docs.columns else tokenized(docs, [])
 
 
-def _parts(batch: pa.RecordBatch, most: int = 200_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _parts(batch: pa.RecordBatch, most: int = 20_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(first row, hashes, lengths)`` of runs of rows of about ``most`` words, from the column ``words``."""
     lists = batch.column("words")
     flat, offsets = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
@@ -185,22 +185,13 @@ def _starts(x: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, np.int64)
 
 
-def _times(a, basis: np.ndarray, n: int) -> np.ndarray:
+def _block(a, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of the matrix ``a`` of ``n`` texts, and those columns of it."""
     r, w, v = a
-    out = np.zeros((n, basis.shape[1]), np.float32)
-    if len(r):
-        s = _starts(r)
-        out[r[s]] = np.add.reduceat(basis[w] * v[:, None], s, axis=0)
-    return out
-
-
-def _transposed_times(a, z: np.ndarray, out: np.ndarray) -> None:
-    r, w, v = a
-    if len(r):
-        o = np.argsort(w, kind="stable")
-        r, w, v = r[o], w[o], v[o]
-        s = _starts(w)
-        out[w[s]] += np.add.reduceat(z[r] * v[:, None], s, axis=0)
+    u, at = np.unique(w, return_inverse=True)
+    dense = np.zeros((n, len(u)), np.float32)
+    dense[r, at] = v
+    return u, dense
 
 
 def _iterate(docs: DataFrame, terms: Terms, basis: np.ndarray) -> np.ndarray:
@@ -212,8 +203,8 @@ def _iterate(docs: DataFrame, terms: Terms, basis: np.ndarray) -> np.ndarray:
         out = np.zeros(q.shape, np.float64)
         for b in batches:
             for _, h, lens in _parts(b):
-                a = _rows(t.ids(h), lens, t.idf)
-                _transposed_times(a, _times(a, q, len(lens)), out)
+                u, a = _block(_rows(t.ids(h), lens, t.idf), len(lens))
+                out[u] += a.T @ (a @ q[u])
         yield slots(out)
 
     return add_up(_words_of(docs).mapInArrow(run, SLOT_DDL), basis.shape, np.float64)
@@ -278,32 +269,24 @@ def _model(subjects: list[str], languages: list[str], terms: Terms, basis: np.nd
     return SubjectModel(subjects, terms, (basis * terms.idf[:, None] * near[:, None]).astype(np.float32), c.astype(np.float32), min_cosine, languages, near)
 
 
-def _refine(docs: DataFrame, model: SubjectModel, before: SubjectModel | None) -> tuple[np.ndarray, float]:
-    """Counts of words (``word, centroid``) in the sentences assigned to each centroid, over all documents, and the share of sentences that ``before`` assigned to another subject."""
+def _refine(docs: DataFrame, model: SubjectModel) -> np.ndarray:
+    """Counts of words (``word, centroid``) in the sentences assigned to each centroid, over all documents."""
     k = len(model.centroids)
-    shared = docs.sparkSession.sparkContext.broadcast((model, before))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, old = shared.value
-        out = np.zeros((m.terms.size + 1, k), np.int64)
+        m = shared.value
+        out = np.zeros((m.terms.size, k), np.int64)
         for b in batches:
             for _, h, lens in _parts(b):
-                row, best, real, ids, sent = m.sentences(h, lens)
-                if not len(row):
-                    continue
+                _, best, _, ids, sent = m.sentences(h, lens)
                 of = best[sent]
                 hit = (of >= 0) & (ids > END)
                 key, n = np.unique(ids[hit].astype(np.int64) * k + of[hit], return_counts=True)
                 out.reshape(-1)[key] += n
-                if old is not None:
-                    # the last row counts sentences and moved ones
-                    out[-1, 0] += int(real.sum())
-                    n_lang = len(m.languages)
-                    out[-1, 1] += int((real & (old.sentences(h, lens)[1] // n_lang != best // n_lang)).sum())
         yield slots(out)
 
-    counts = add_up(_words_of(docs).mapInArrow(run, SLOT_DDL), (model.terms.size + 1, k), np.int64)
-    return counts[:-1], float(counts[-1, 1] / max(counts[-1, 0], 1))
+    return add_up(_words_of(docs).mapInArrow(run, SLOT_DDL), (model.terms.size, k), np.int64)
 
 
 def fit(
@@ -314,7 +297,7 @@ def fit(
     The decomposition takes up to ``iterations`` passes.  After each, centroids of every other reference text tell the subjects of the rest: passes end when
     ``enough`` of them are told right, when the subspace turns by less than ``settled`` (one less the mean squared cosine between the old and the new one), or
     when a pass lowers that share, and that pass is undone - further passes turn the space to what is commonest in the corpus, be it a subject or not.
-    The centroids take up to ``refinements`` passes and end when less than ``settled`` of all sentences change their subject.
+    The centroids take up to ``refinements`` passes and end when they turn by less than ``settled`` (one less their mean cosine with those before).
     """
     ref = [(r.subject, r.lang, r.text) for r in reference.select("subject", "lang", "text").collect() if r.subject and r.lang and r.text]
     subjects, languages = sorted({r[0] for r in ref}), sorted({r[1] for r in ref})
@@ -326,14 +309,14 @@ def fit(
     terms = fit_terms(docs, texts, min_df, min_share, most_terms)
     s, l = len(subjects), len(languages)
     cell = np.array([subjects.index(a) * l + languages.index(b) for a, b, _ in ref])
-    a = _rows(terms.ids(texts[0]), texts[1], terms.idf)
+    u, a = _block(_rows(terms.ids(texts[0]), texts[1], terms.idf), len(ref))
     start = np.zeros((terms.size, s * l), np.float64)
-    _transposed_times(a, np.eye(s * l, dtype=np.float32)[cell], start)
+    start[u] = a.T @ np.eye(s * l, dtype=np.float32)[cell]
     basis = np.linalg.qr(start)[0]
 
     def seeds(basis: np.ndarray, rows: np.ndarray) -> np.ndarray:
         out = np.zeros((s * l, basis.shape[1]))
-        np.add.at(out, cell[rows], _times(a, basis.astype(np.float32), len(ref))[rows])
+        np.add.at(out, cell[rows], (a @ basis[u])[rows])
         out = out.reshape(s, l, -1)
         return out / np.maximum(np.linalg.norm(out, axis=2, keepdims=True), 1e-9)
 
@@ -349,7 +332,7 @@ def fit(
     for _ in range(iterations):
         # the reference's own rows count too, so that the basis can't lose a subject
         y = _iterate(docs, terms, basis)
-        _transposed_times(a, _times(a, basis.astype(np.float32), len(ref)), y)
+        y[u] += a.T @ (a @ basis[u])
         new = np.linalg.qr(y)[0]
         now, turned = told(new), 1 - np.linalg.norm(basis.T @ new) ** 2 / basis.shape[1]
         if now < right:
@@ -358,15 +341,14 @@ def fit(
         if now >= enough or turned < settled:
             break
     centroids = seeds(basis, every)
-    model, before = _model(subjects, languages, terms, basis, centroids, min_word_cosine, min_cosine), None
+    model = _model(subjects, languages, terms, basis, centroids, min_word_cosine, min_cosine)
     for _ in range(refinements):
-        counts, moved = _refine(docs, model, before)
-        if before is not None and moved < settled:  # the centroids are those of the assignments as they are
-            break
-        found = (basis.T @ (counts * terms.idf[:, None])).T.reshape(s, l, -1)
+        found = (basis.T @ (_refine(docs, model) * terms.idf[:, None])).T.reshape(s, l, -1)
         size = np.linalg.norm(found, axis=2, keepdims=True)
         centroids = np.where(size > 0, found / np.maximum(size, 1e-9), centroids)
-        before, model = model, _model(subjects, languages, terms, basis, centroids, min_word_cosine, min_cosine)
+        old, model = model, _model(subjects, languages, terms, basis, centroids, min_word_cosine, min_cosine)
+        if 1 - (old.centroids * model.centroids).sum(1).mean() < settled:
+            break
     return model
 
 
