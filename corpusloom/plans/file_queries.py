@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from ..functions import markup as M
 from ..functions import text as T
 from ..functions import urls as U
 from ..operators import dedup as D
@@ -283,9 +284,92 @@ def shard_documents_form(spark, d):
     return docs.select("id", "source", "url", "crawl", "lang", "lid_score", F.get_json_object("meta", "$.run").alias("run")).distinct()
 
 
+def _escaped(c):
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def _letters_only(c):
+    return T.strip(F.regexp_replace(c, "[^a-zA-Z]+", " "))
+
+
+def page_round_trip(spark, d):
+    """All documents as pages with navigation, script and foot, and their main text taken out again."""
+    docs = table(spark, d, "documents").where(F.col("text").isNotNull())
+    lines = F.transform(F.split("text", "\n"), lambda x: F.concat(F.lit("<p>"), _escaped(x), F.lit("</p>")))
+    page = F.concat(
+        F.lit("<html><head><title>A &amp; B</title></head><body><nav><a href='/'>Home page of the site</a></nav><script>var a = '<p>no</p>';</script><article>"), F.array_join(lines, ""),
+        F.lit("<!-- <p>neither</p> --></article><footer><p>All of this is foot</p></footer></body></html>"),
+    )
+    got = M.main_text(F.encode(page, "UTF-8"), F.lit(False))
+    return docs.select("doc_id", got.alias("m")).select("doc_id", "m.title", F.sha2(F.regexp_replace("m.text", r"\s+", ""), 256).alias("sha256"))
+
+
+def link_round_trip(spark, d):
+    """A page per extracted document with six kinds of links: all of them in order, resolved."""
+    e = table(spark, d, "extracted_docs").where(F.col("url").isNotNull()).select("url").distinct()
+    page = F.concat(F.lit("<p><a href='/top?x=1&amp;y=2'>1</a><!-- <a href='/no'>-</a> --><A class=k HREF=\""), _escaped(F.col("url")), F.lit("\">2</A><a href='mailto:a@b'>3</a><a>4</a><a href='#part'>5</a><a href='//Other.example/z'>6</a></p>"))
+    got = e.select("url", F.posexplode(M.extract_links(F.encode(page, "UTF-8"), F.col("url"))).alias("pos", "target"))
+    return got.where("pos <> 2").select("url", F.col("pos").cast("long").alias("pos"), "target")
+
+
+def wikitext_round_trip(spark, d):
+    """All documents' words as wikitext with templates, links, tables, media and tail sections, and the text taken out again."""
+    t = _letters_only(F.col("text"))
+    docs = table(spark, d, "documents").where(F.col("text").isNotNull() & (t != ""))
+    raw = F.concat(
+        F.lit("{{Infobox|a={{b}}}}\'\'\'"), t, F.lit("\'\'\' [[x y|label]]<ref name=q>z</ref> [[Category:Y]]\n[[File:a.jpg|thumb|a [[b]] c]]\n{|\n| cell\n|}\n== Amateka ==\n* __NOTOC__"), t,
+        F.lit(" <<w>> [http://x.y named]\n200px|left\n== Reba kandi ==\nmore"),
+    )
+    return docs.select("doc_id", F.sha2(M.wikitext(raw), 256).alias("sha256"))
+
+
+@F.pandas_udf(BinaryType())
+def _docx(s: pd.Series) -> pd.Series:
+    import io
+    import zipfile
+    from xml.sax.saxutils import escape
+
+    out = []
+    for t in s:
+        b = io.BytesIO()
+        with zipfile.ZipFile(b, "w") as z:
+            z.writestr("word/document.xml", "<w:d xmlns:w='u'>" + "".join(f"<w:p><w:r><w:t>{escape(x[: len(x) // 2])}</w:t><w:t>{escape(x[len(x) // 2 :])}</w:t></w:r></w:p>" for x in t.split("\n")) + "</w:d>")
+        out.append(b.getvalue())
+    return pd.Series(out)
+
+
+def office_round_trip(spark, d):
+    """All documents as office files and pages by media type, through the extractor of their route: what comes out of each way, and why nothing does."""
+    kind = F.when(F.col("doc_id") % 3 == 0, M.OFFICE_TYPES[0]).when(F.col("doc_id") % 3 == 1, "application/pdf").otherwise("text/html; charset=utf-8")
+    t = F.regexp_replace("text", "[\\x{0}-\\x{8}\\x{b}\\x{c}\\x{d}\\x{e}-\\x{1f}\\x{fffe}\\x{ffff}]", "")
+    docs = table(spark, d, "documents").where(F.col("text").isNotNull()).select("doc_id", kind.alias("kind"), t.alias("t"))
+    content = F.when(F.col("doc_id") % 3 == 0, _docx(F.col("t"))).when(F.col("doc_id") % 3 == 2, F.encode(F.concat(F.lit("<nav>menu</nav>"), F.lit("<p>"), _escaped(_letters_only(F.col("t"))), F.lit("</p>")), "UTF-8")).otherwise(F.encode("t", "UTF-8"))
+    got = docs.select("doc_id", M.route(F.col("kind")).alias("route"), M.extracted(content, F.col("kind")).alias("e"))
+    return got.select("doc_id", "route", F.sha2(F.regexp_replace("e.text", T.WS + "+", ""), 256).alias("sha256"), F.col("e.reason").alias("reason"))
+
+
+def robots_rules(spark, d):
+    """Which URLs a crawler may read under a robots file that shuts two paths, for itself and for all, by the answer that the file's fetch had."""
+    e = table(spark, d, "extracted_docs").where(F.col("url").isNotNull()).select("url").distinct()
+    x = F.conv(F.substring(F.sha2("url", 256), 1, 4), 16, 10).cast("int")
+    status = F.when(x % 5 == 0, 403).when(x % 5 == 1, 404).when(x % 5 == 2, F.lit(None).cast("int")).otherwise(200)
+    rules = F.lit("User-agent: *\nDisallow: /amakuru/\n\nUser-agent: loom\nDisallow: /news/\n")
+    e = e.withColumn("status", status)
+    return e.select("url", M.robots_allow(F.col("url"), rules, F.col("status")).alias("anyone"), M.robots_allow(F.col("url"), rules, F.col("status"), "loom").alias("loom"))
+
+
+def example_round_trip(spark, d):
+    """Examples as a file of hand-written ones with comments, read back: those with both texts, ``qa`` where no task is named."""
+    e = table(spark, d, "instruction_examples").select("task_type", "prompt", "response")
+    folder = own_folder(spark, "gold")
+    e.select(F.to_json(F.struct("task_type", "prompt", "response")).alias("value")).unionByName(spark.createDataFrame([("# comment",), ("",)], "value string")).write.text(folder)
+    return R.read_gold_examples(spark, folder).groupBy("task_type").agg(F.count("*").alias("n"), F.sum(F.length("prompt")).alias("prompt_chars"), F.sum(F.length("response")).alias("response_chars"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         wet_round_trip, warc_round_trip, cdx_round_trip, archive_cdx_round_trip, wiki_round_trip, seed_round_trip, seeds_allow, parent_domain_matches, shard_round_trip, shard_validation, shard_publication, shards_by_source,
-        split_files, train_uris, packed_files, enrichment_round_trip, dead_letter_files, crawl_lists, columnar_index_scan, news_import, monolingual_import, first_documents, harvested_classes, shard_documents_form,
+        split_files, train_uris, packed_files, enrichment_round_trip, dead_letter_files, crawl_lists, columnar_index_scan, news_import, monolingual_import, first_documents, harvested_classes, shard_documents_form, page_round_trip, link_round_trip,
+        wikitext_round_trip, office_round_trip, robots_rules, example_round_trip,
     ]
     return {f.__name__: f for f in own}

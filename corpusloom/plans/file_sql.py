@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .sql import INDEX, SPLIT_SEED, decided, domain, host, path, strip
+from .sql import INDEX, NETLOC, SPLIT_SEED, decided, domain, host, path, strip
 
 
 def _first(table: str, key: str, order: str, where: str = "true") -> str:
@@ -31,6 +31,9 @@ def oracle_sql() -> dict[str, str]:
         WHEN 'mbazanlp_v01.1' THEN 'external/v1/mbazanlp/' WHEN 'kinnews' THEN 'external/v1/kinnews/' ELSE 'unknown/' END"""
     dataset = """CASE WHEN source IN ('commoncrawl', 'targeted_web', 'wikipedia', 'mbazanlp_v01.1', 'kinnews', 'wayback', 'cc_index', 'cc_lang', 'books_corpus') THEN 'pretrain' WHEN source = 'parallel_web' THEN 'parallel'
         WHEN source = 'instructions_rw' THEN 'instructions' ELSE 'none' END"""
+    bare = "regexp_replace(text, '[\\s\\x{b}\\x{85}\\p{Z}]+', '', 'g')"
+    letters = "trim(regexp_replace(text, '[^a-zA-Z]+', ' ', 'g'))"
+    norm = f"regexp_extract(plain, '^([a-z]+://)', 1) || lower({NETLOC.format(u='plain')}) || CASE WHEN {path('plain')} = '' THEN '/' ELSE '' END || regexp_extract(plain, '^[a-z]+://[^/?#]*(.*)$', 1)"
     kept = "SELECT *, sha256(text) AS h FROM wet_records WHERE text IS NOT NULL AND keep"
     chars = "unnest(string_split(text, ''))"
     return {
@@ -78,5 +81,20 @@ def oracle_sql() -> dict[str, str]:
         "monolingual_import": f"SELECT doc_id::VARCHAR AS source_id, sha256(text) AS sha256, '01.1' AS version FROM documents WHERE {strip("coalesce(text, '')")} <> ''",
         "first_documents": "SELECT source, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents WHERE source IS NOT NULL) WHERE i <= 50",
         "harvested_classes": f"SELECT k AS url_class, count(*) AS n FROM (SELECT {kind} AS k FROM (SELECT DISTINCT url FROM extracted_docs WHERE url IS NOT NULL)) WHERE k IN ('news', 'pdf', 'document', 'static') GROUP BY 1",
+        "page_round_trip": f"SELECT doc_id, CASE WHEN {bare} = '' THEN NULL ELSE 'A & B' END AS title, CASE WHEN {bare} <> '' THEN sha256({bare}) END AS sha256 FROM documents WHERE text IS NOT NULL",
+        "link_round_trip": f"""
+            WITH u AS (SELECT url, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) AS site, regexp_replace(url, '#.*$', '') AS plain FROM (SELECT DISTINCT url FROM extracted_docs WHERE url IS NOT NULL))
+            SELECT url, unnest([0, 1, 3]) AS pos, unnest([lower(site) || '/top?x=1&y=2', {norm}, regexp_extract(url, '^([a-z]+:)', 1) || '//other.example/z']) AS target FROM u""",
+        "wikitext_round_trip": f"SELECT doc_id, sha256(t || ' label' || chr(10) || chr(10) || 'Amateka' || chr(10) || t || ' \"w\" named') AS sha256 FROM (SELECT doc_id, {letters} AS t FROM documents WHERE text IS NOT NULL) WHERE t <> ''",
+        "office_round_trip": f"""
+            WITH x AS (SELECT doc_id, regexp_replace(text, '[\\x{{0}}-\\x{{8}}\\x{{b}}\\x{{c}}\\x{{d}}\\x{{e}}-\\x{{1f}}\\x{{fffe}}\\x{{ffff}}]', '', 'g') AS text FROM documents WHERE text IS NOT NULL),
+            y AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'office' WHEN 1 THEN 'pdf' ELSE 'html' END AS route,
+              CASE doc_id % 3 WHEN 0 THEN CASE WHEN length({strip("array_to_string(list_filter(string_split(text, chr(10)), lambda l: " + strip('l') + " <> ''), chr(10))")}) >= 50 THEN text END WHEN 1 THEN NULL ELSE nullif({letters}, '') END AS t FROM x)
+            SELECT doc_id, route, sha256(regexp_replace(t, '[\\s\\x{{b}}\\x{{85}}\\p{{Z}}]+', '', 'g')) AS sha256, CASE WHEN t IS NULL THEN CASE route WHEN 'pdf' THEN 'reject.pdf_extraction_failed' WHEN 'office' THEN 'reject.office_extraction_failed' ELSE 'reject.extraction_failed' END END AS reason FROM y""",
+        "robots_rules": f"""
+            SELECT url, x % 5 <> 0 AND (x % 5 < 3 OR NOT starts_with({path('url')}, '/amakuru/')) AS anyone, x % 5 <> 0 AND (x % 5 < 3 OR NOT starts_with({path('url')}, '/news/')) AS loom
+            FROM (SELECT url, {_hex('url')} AS x FROM (SELECT DISTINCT url FROM extracted_docs WHERE url IS NOT NULL))""",
+        "example_round_trip": f"""
+            SELECT coalesce(task_type, 'qa') AS task_type, count(*) AS n, sum(length(p))::BIGINT AS prompt_chars, sum(length(r))::BIGINT AS response_chars FROM (SELECT task_type, {strip('prompt')} AS p, {strip('response')} AS r FROM instruction_examples) WHERE p <> '' AND r <> '' GROUP BY 1""",
         "shard_documents_form": f"SELECT DISTINCT sha256(t) AS id, 'commoncrawl' AS source, nullif(url, '') AS url, crawl, lang, lid_score, run_id AS run FROM ({decided()}) WHERE keep2",
     }

@@ -103,15 +103,15 @@ def _bucket(v: str, bins) -> str:
     return c + " ".join(f"WHEN {v} < {b} THEN '{a}-{b}'" for a, b in zip(bins, bins[1:])) + f" ELSE '>={bins[-1]}' END"
 
 
-_NETLOC = "regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1)"
+NETLOC = "regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1)"
 
 
 def domain(u: str) -> str:
-    return f"regexp_replace(regexp_replace(lower({_NETLOC.format(u=u)}), ':.*$', ''), '^www\\.', '')"
+    return f"regexp_replace(regexp_replace(lower({NETLOC.format(u=u)}), ':.*$', ''), '^www\\.', '')"
 
 
 def host(u: str) -> str:
-    return f"regexp_replace(regexp_replace(lower({_NETLOC.format(u=u)}), '^.*@', ''), ':.*$', '')"
+    return f"regexp_replace(regexp_replace(lower({NETLOC.format(u=u)}), '^.*@', ''), ':.*$', '')"
 
 
 def path(u: str) -> str:
@@ -227,7 +227,7 @@ def oracle_sql() -> dict[str, str]:
         "example_ids": f"SELECT id, {_ID} AS example_id FROM instruction_examples",
         "url_parts": f"""
             SELECT DISTINCT url, {domain('url')} AS domain, CASE WHEN len({parts}) = 0 THEN 'root' WHEN len({good}) > 0 THEN ({good})[1] ELSE ({parts})[1] END AS section, {kind} AS kind, {portal} AS portal_section,
-              CASE WHEN {_scheme('v')} IN ('http', 'https') AND {host('v')} <> '' THEN {_scheme('v')} || '://' || lower({_NETLOC.format(u='v')}) || CASE WHEN rest = '' THEN '/' WHEN rest LIKE '?%' THEN '/' || rest ELSE rest END END AS normalized
+              CASE WHEN {_scheme('v')} IN ('http', 'https') AND {host('v')} <> '' THEN {_scheme('v')} || '://' || lower({NETLOC.format(u='v')}) || CASE WHEN rest = '' THEN '/' WHEN rest LIKE '?%' THEN '/' || rest ELSE rest END END AS normalized
             FROM (SELECT *, {path('url')} AS p, lower({path('url')}) AS lp, regexp_replace(trim(url), '#.*$', '') AS v, regexp_extract(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(.*)$', 1) AS rest FROM extracted_docs)""",
         "url_safety": f"""
             WITH a AS (SELECT DISTINCT regexp_replace(lower(trim(domain)), '^www\\.', '') AS domain FROM wet_records WHERE trim(domain) <> ''),
@@ -358,7 +358,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT capture_id, CASE WHEN capture_id % 3 = 0 THEN regexp_replace(url, '^([a-z]+://[^/]+)/', '\1/rw/') ELSE regexp_replace(url, '#.*$', '') || '?lang=rw' END AS url_rw, CASE WHEN capture_id % 3 = 0 THEN regexp_replace(url, '^([a-z]+://[^/]+)/', '\1/en/') ELSE regexp_replace(url, '#.*$', '') || '?lang=en' END AS url_en,
               CASE WHEN capture_id % 3 = 0 THEN 0.5 ELSE 0.4 END::DOUBLE AS confidence, 'url_pattern' AS method FROM p WHERE capture_id % 3 < 2""".replace("\\\\1", "\\1"),
         "frontier": f"""
-            WITH u AS (SELECT DISTINCT CASE WHEN {_scheme('v')} IN ('http', 'https') AND {host('v')} <> '' THEN {_scheme('v')} || '://' || lower({_NETLOC.format(u='v')}) || CASE WHEN rest = '' THEN '/' WHEN rest LIKE '?%' THEN '/' || rest ELSE rest END END AS url
+            WITH u AS (SELECT DISTINCT CASE WHEN {_scheme('v')} IN ('http', 'https') AND {host('v')} <> '' THEN {_scheme('v')} || '://' || lower({NETLOC.format(u='v')}) || CASE WHEN rest = '' THEN '/' WHEN rest LIKE '?%' THEN '/' || rest ELSE rest END END AS url
               FROM (SELECT regexp_replace(trim(url), '#.*$', '') AS v, regexp_extract(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(.*)$', 1) AS rest FROM extracted_docs)),
             r AS (SELECT url, row_number() OVER (PARTITION BY {domain('url')} ORDER BY url) AS n FROM u WHERE url IS NOT NULL)
             SELECT url, length(bin(n)) - 1 AS depth FROM r""",

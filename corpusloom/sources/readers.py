@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+
 DOCUMENT_DDL = "id STRING, text STRING, source STRING, url STRING, crawl STRING, fetched_at STRING, lang STRING, lid_model STRING, lid_score DOUBLE, meta STRING"
 PAIR_DDL = "id STRING, rw_text STRING, en_text STRING, source STRING, url_rw STRING, url_en STRING, domain STRING, fetched_at STRING, rw_lid_score DOUBLE, en_lid_score DOUBLE, meta STRING"
 EXAMPLE_DDL = "id STRING, source STRING, task_type STRING, prompt STRING, response STRING, lang STRING, created_at STRING, meta STRING"
@@ -137,7 +139,7 @@ def read_gold_examples(spark: SparkSession, path: str) -> DataFrame:
     """``task_type, prompt, response`` of hand-written examples: JSON lines with ``#`` comments; both texts are needed, the default task is ``qa``."""
     rows = spark.read.text(path).where(~F.startswith(F.trim("value"), F.lit("#")))
     r = F.from_json("value", "task_type STRING, prompt STRING, response STRING")
-    out = rows.select(r.alias("r")).select(F.coalesce("r.task_type", F.lit("qa")).alias("task_type"), F.trim("r.prompt").alias("prompt"), F.trim("r.response").alias("response"))
+    out = rows.select(r.alias("r")).select(F.coalesce("r.task_type", F.lit("qa")).alias("task_type"), T.strip(F.col("r.prompt")).alias("prompt"), T.strip(F.col("r.response")).alias("response"))
     return out.where((F.col("prompt") != "") & (F.col("response") != ""))
 
 

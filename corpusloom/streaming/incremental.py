@@ -18,7 +18,7 @@ class StopRun(Exception):
     """A limit was reached; the batch that would come next isn't begun, and the next run goes on with it."""
 
 
-def ingest(spark: SparkSession, folder: str, schema, out: str, checkpoint: str, profile: FilterProfile = FilterProfile(), files_per_batch: int = 100, limits: Guardrails | None = None):
+def ingest(spark: SparkSession, folder: str, schema, out: str, checkpoint: str, profile: FilterProfile = FilterProfile(), files_per_batch: int = 100, most_records_per_file: int = 1_000_000, limits: Guardrails | None = None):
     """Stream records (Parquet files of ``doc_id, text, lang, lid_score, ...`` as they arrive in ``folder``) into ``out/kept`` and ``out/rejected``.
 
     Each batch drops texts that it or an earlier batch has kept before, compared as normalized; hashes of kept texts stand in ``out/hashes``, partitioned by batch, and
@@ -38,7 +38,7 @@ def ingest(spark: SparkSession, folder: str, schema, out: str, checkpoint: str,
             seen = s.createDataFrame([], "sha256 string")
         first = keep_first(decided.where(F.col("keep")), F.col("sha256"), F.col("doc_id"))
         kept = new_records(first, seen.join(first.select("sha256"), "sha256", "left_semi")).withColumn("epoch", F.lit(epoch).cast("bigint"))
-        write = lambda d, to: d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(f"{out}/{to}")
+        write = lambda d, to: d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", most_records_per_file).partitionBy("epoch").parquet(f"{out}/{to}")
         write(kept, "kept")
         write(decided.where(~F.col("keep")).withColumn("epoch", F.lit(epoch).cast("bigint")), "rejected")
         # the hashes come last: a batch counts as done with them

@@ -42,3 +42,18 @@ def test_robots_and_sections(spark):
     docs = spark.createDataFrame([(1, "\n\n".join(["k" * 150, "e" * 150, "k" * 150])), (2, "short"), (3, None)], "i int, text string")
     ident = lambda b: b.withColumn("lang", F.when(F.startswith("block", F.lit("k")), "kin_Latn").otherwise("eng_Latn")).withColumn("score", F.lit(0.9))
     assert {r.i: r.text for r in X.language_sections(docs, "i", "text", ident, size=100).collect()} == {1: "k" * 150 + "\n\n" + "k" * 150, 2: None, 3: None}
+
+
+def test_main_text(spark):
+    page = "<html><head><title>A &amp; B</title></head><body><nav>menu</nav><main><p>one<br>two</p><table><tr><td>c</td></tr></table><aside>no</aside></main><p>outside</p></body>"
+    assert M.page_text(page) == ("A & B", "one\ntwo\nc") and M.page_text(page, precise=True) is None
+    assert M.page_text("<p>a b c d e</p><p>x</p><script>y", precise=True) == ("", "a b c d e")
+    assert M.page_text("") is None and M.page_text("<nav>only") is None and M.page_text("no tags") == ("", "no tags")
+    rows = [(bytearray(b"<p>Share this page</p><p>kept</p>"), "text/html"), (bytearray(b"%PDF"), "application/pdf; x=y"), (bytearray(b"no"), M.OFFICE_TYPES[2]), (None, None), (bytearray(b""), "text/html")]
+    got = [tuple(r.e) for r in spark.createDataFrame(rows, "c binary, k string").select(M.extracted(F.col("c"), F.col("k")).alias("e")).collect()]
+    assert got == [("kept", None), (None, "reject.pdf_extraction_failed"), (None, "reject.office_extraction_failed"), (None, "reject.extraction_failed"), (None, "reject.extraction_failed")]
+
+
+def test_wikitext_residue():
+    raw = "a b Category:X y\n200px|left\nc|120x80px|d\n|- style=x\nclass=\"wikitable\" e\nf {\\ x}\n<<g>> <h i> <div class='k'>j</div> k"
+    assert M.wiki_plain(raw) == "a b\n\ncd\n\ne\n\n\"g\" h i j k"
