@@ -100,7 +100,7 @@ def parse(text: str) -> Page:
     nodes = [Node("#", -1, 0)]
     # per node: the block it is in, the outermost inline element below that block or -1, whether it is in a link of that block
     block_of, top_of, in_link = [0], [-1], [False]
-    here, at, n = 0, 0, 0
+    here, n = 0, 0
     title = ""
     # per parent that is no paragraph: atoms (node of the unit, piece numbers, text, linked, gap before) in order
     units: list[Unit] = []
@@ -147,14 +147,15 @@ def parse(text: str) -> Page:
             title = title or t
 
     closed = False
-    for m in _MARK.finditer(text):
-        if m.start() > at:
-            put(text[at : m.start()])
-        at = m.end()
-        tag = (m[3] or m[6] or "").lower()
+    # texts and the seven groups of the marks between them, in turn
+    split = _MARK.split(text)
+    for before, _, end, tag, attrs, bad_end, bad_tag, bad_attrs in zip(*(split[i::8] for i in range(8))):
+        if before:
+            put(before)
+        tag = tag or bad_tag
         if not tag:
             continue
-        end, attrs = m[2] or m[5], m[4] or m[7] or ""
+        tag, end, attrs = tag.lower(), end or bad_end, attrs or bad_attrs
         if end:
             k = here
             while k > 0 and nodes[k].tag != tag:
@@ -192,6 +193,6 @@ def parse(text: str) -> Page:
         top_of.append((k if top_of[here] < 0 else top_of[here]) if inline else -1)
         in_link.append(inline and (tag == "a" or in_link[here]))
         here = k
-    if at < len(text):
-        put(text[at:])
+    if split[-1]:
+        put(split[-1])
     return Page(nodes, units, n, title, closed)
