@@ -121,14 +121,20 @@ def _refill(sizes: list[int], capacity: int, free: list[int], members: list[list
                 where[i] = q
 
 
+def profile_rows(profiles: DataFrame):
+    """The profiles (a dimension table of a few rows, read whole) as one array of ``profile, capacity, eos``, to be unfolded beside each document."""
+    rows = profiles.where((F.col("capacity_tokens") > 0) & F.col("profile").isNotNull()).select("profile", "capacity_tokens", F.coalesce("eos_tokens", F.lit(0)).alias("eos")).distinct().collect()
+    every = [F.struct(F.lit(r.profile).alias("profile"), F.lit(r.capacity_tokens).cast("long").alias("capacity"), F.lit(r.eos).cast("long").alias("eos")) for r in rows]
+    return F.array(*every) if every else F.array().cast("array<struct<profile: string, capacity: bigint, eos: bigint>>")
+
+
 def items(sized: DataFrame, profiles: DataFrame, id_col: str = "doc_id", tokens_col: str = "n_tokens") -> DataFrame:
     """Pieces to place: ``profile, capacity, id, piece_no, pieces, start_token, tokens``; tokens include the profile's end tokens.
 
     Only documents above the capacity have more than one piece; all but their last piece fill a container.
     """
-    p = F.broadcast(profiles.where((F.col("capacity_tokens") > 0) & F.col("profile").isNotNull()).select("profile", F.col("capacity_tokens").alias("capacity"), F.coalesce("eos_tokens", F.lit(0)).alias("eos")))
     docs = sized.where(F.col(id_col).isNotNull() & (F.col(tokens_col) > 0)).select(F.col(id_col).alias("id"), F.col(tokens_col).cast("long").alias("n"))
-    each = docs.join(p).withColumn("need", F.col("n") + F.col("eos"))
+    each = docs.select("id", "n", F.inline(profile_rows(profiles))).withColumn("need", F.col("n") + F.col("eos"))
     each = each.withColumn("pieces", F.ceil(F.col("need") / F.col("capacity")).cast("long"))
     each = each.withColumn("piece_no", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
     start = F.col("piece_no") * F.col("capacity")

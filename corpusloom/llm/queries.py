@@ -120,16 +120,16 @@ def p7_containers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_checks(spark: SparkSession, d: str) -> DataFrame:
-    """What must hold of the assignment, per profile: documents placed, and those or containers that break a rule."""
+    """What must hold of the assignment, per profile: documents placed, those or containers that break a rule, and whether a hundredth and two more containers than the tokens fill is enough."""
     sizes, profiles = _document_sizes(spark, d), _t(spark, d, "pack_profiles").where("capacity_tokens > 0 AND profile IS NOT NULL")
     packed = stage(packing.pack(sizes, profiles), "p7-packed")
     one = packed.groupBy("profile", "container").agg(F.sum("tokens").alias("sum"), F.first("used").alias("used"), F.first(F.col("used") + F.col("unused")).alias("capacity"))
-    full = one.groupBy("profile").agg(F.count_if(F.col("sum") > F.col("capacity")).alias("overfull"), F.count_if(F.col("sum") != F.col("used")).alias("misreported"), (F.sum(F.col("capacity") - F.col("sum")) / F.sum("capacity") < 0.01).alias("waste_below_a_hundredth"))
-    need = sizes.join(F.broadcast(profiles.select("profile", "capacity_tokens", "eos_tokens").limit(1000))).select("profile", "doc_id", "capacity_tokens", (F.col("n_tokens") + F.coalesce("eos_tokens", F.lit(0))).alias("need")).where("n_tokens > 0")
+    full = one.groupBy("profile").agg(F.count_if(F.col("sum") > F.col("capacity")).alias("overfull"), F.count_if(F.col("sum") != F.col("used")).alias("misreported"), (F.count("*") <= 1.01 * F.ceil(F.sum("sum") / F.first("capacity")) + 2).alias("few_containers"))
+    need = sizes.where("n_tokens > 0").select("doc_id", "n_tokens", F.inline(packing.profile_rows(profiles))).select("profile", "doc_id", "capacity", (F.col("n_tokens") + F.col("eos")).alias("need"))
     docs = packed.groupBy("profile", "doc_id").agg(F.count("*").alias("pieces"), F.sum("tokens").alias("sum"))
     both = need.join(docs, ["profile", "doc_id"], "full")
     rules = both.groupBy("profile").agg(
-        F.count("pieces").alias("placed"), F.count_if(F.col("pieces").isNull() | F.col("need").isNull()).alias("missing"), F.count_if(F.col("sum") != F.col("need")).alias("lost_tokens"), F.count_if((F.col("need") <= F.col("capacity_tokens")) & (F.col("pieces") > 1)).alias("split_though_fitting")
+        F.count("pieces").alias("placed"), F.count_if(F.col("pieces").isNull() | F.col("need").isNull()).alias("missing"), F.count_if(F.col("sum") != F.col("need")).alias("lost_tokens"), F.count_if((F.col("need") <= F.col("capacity")) & (F.col("pieces") > 1)).alias("split_though_fitting")
     )
     return rules.join(full, "profile")
 
@@ -154,11 +154,13 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_checks(spark: SparkSession, d: str) -> DataFrame:
-    """What must hold of the mix, per target source: uses above the cap, and whether its share is off the target (dealt anew among sources that have documents) by more than a thousandth."""
-    s = p8_shares(spark, d)
-    have = s.where("tokens_available > 0").agg(F.sum("target_share").alias("all"))
+    """What must hold of the mix, per target source: uses above the cap, and whether its share is off the target (dealt anew among sources that have documents) by more than a thousandth and one of the longest documents."""
+    sized, targets = _sized(spark, d), _t(spark, d, "mix_targets")
+    s = mixing.shares_reached(stage(mixing.mix(sized, targets), "p8-mix"), sized, targets)
+    grain = sized.agg(F.max("n_tokens").alias("longest"))
+    have = s.where("tokens_available > 0").agg(F.sum("target_share").alias("all"), F.sum("tokens").alias("drawn")).join(grain)
     goal = F.when(F.col("tokens_available") > 0, F.col("target_share") / F.col("all")).otherwise(0.0)
-    return s.join(F.broadcast(have)).select("source", "max_repeats", "docs_available", (F.col("most_uses") > F.col("max_repeats")).alias("too_often"), (F.abs(F.col("actual_share") - goal) > 0.001).alias("off"))
+    return s.join(F.broadcast(have)).select("source", "max_repeats", "docs_available", (F.col("most_uses") > F.col("max_repeats")).alias("too_often"), (F.abs(F.col("actual_share") - goal) > 0.001 + F.col("longest") / F.col("drawn")).alias("off"))
 
 
 def _subjects(spark: SparkSession, d: str) -> DataFrame:

@@ -43,7 +43,7 @@ def oracle_sql() -> dict[str, str]:
         SELECT CASE grouping(source, lang, domain) WHEN 7 THEN 'all' WHEN 3 THEN 'source' WHEN 5 THEN 'lang' WHEN 6 THEN 'domain' ELSE 'source+lang+domain' END AS slice, source, lang, domain, count(*) AS docs, sum(claim)::BIGINT AS meta_tokens, bool_or(filled) AS counted
         FROM x GROUP BY GROUPING SETS ((), (source), (lang), (domain), (source, lang, domain))"""
     p7 = """
-        SELECT profile, (SELECT count(*) FROM documents WHERE length(text) > 0) AS placed, 0 AS missing, 0 AS lost_tokens, 0 AS split_though_fitting, 0 AS overfull, 0 AS misreported, true AS waste_below_a_hundredth FROM pack_profiles WHERE capacity_tokens > 0 AND profile IS NOT NULL"""
+        SELECT profile, (SELECT count(*) FROM documents WHERE length(text) > 0) AS placed, 0 AS missing, 0 AS lost_tokens, 0 AS split_though_fitting, 0 AS overfull, 0 AS misreported, true AS few_containers FROM pack_profiles WHERE capacity_tokens > 0 AND profile IS NOT NULL"""
     p8 = """
         SELECT t.source, t.max_repeats, count(d.doc_id) AS docs_available, false AS too_often, false AS off FROM (SELECT lower(trim(source)) AS source, max_repeats FROM mix_targets WHERE source IS NOT NULL) t
         LEFT JOIN (SELECT doc_id, lower(regexp_replace(source, '^\\s+|\\s+$', '', 'g')) AS source FROM documents) d ON d.source = t.source GROUP BY ALL"""
