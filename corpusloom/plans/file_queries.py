@@ -132,7 +132,7 @@ def parent_domain_matches(spark, d):
 def _shards(spark, d, folder):
     docs = table(spark, d, "wet_records").where(F.col("text").isNotNull() & F.col("keep"))
     rows = docs.select("doc_id", F.sha2("text", 256).alias("id"), "text", "source", "url", "lang", "lid_score")
-    return W.write_shards(rows.coalesce(4), folder, "corpus", "all_sources", "r1", target_bytes=200_000)
+    return W.write_shards(rows, folder, "corpus", "all_sources", "r1", target_bytes=200_000)
 
 
 def shard_round_trip(spark, d):
@@ -242,7 +242,7 @@ def columnar_index_scan(spark, d):
     """Extracted pages as a columnar index, listed and scanned for one language without a top-level domain."""
     e = table(spark, d, "extracted_docs").select(F.col("url"), F.col("lang").alias("content_languages"), F.lit("w").alias("warc_filename"), F.length("text").alias("warc_record_offset"), F.lit(None).cast("int").alias("warc_record_length"), F.lit("warc").alias("subset"))
     folder = own_folder(spark, "index")
-    e.unionByName(e.limit(0)).write.partitionBy("subset").parquet(folder)
+    e.write.partitionBy("subset").parquet(folder)
     listing = S.index_files(S.files_below(spark, folder, "*.parquet"))
     scan = R.columnar_index(spark, folder + "/subset=warc", "kin_Latn", ~F.contains("url", F.lit(".news.")))
     return scan.groupBy("url").agg(F.count("*").alias("n"), F.sum("warc_record_offset").alias("chars")).join(listing.agg((F.count("*") > 0).alias("listed")))
