@@ -143,15 +143,15 @@ class ArticleModel:
         return self.__dict__ | {"texts": {}}
 
     def _text(self, t: str) -> tuple:
-        """Numbers of a unit's text alone; remembered for short ones, since frames recur."""
+        """Numbers of a unit's words and signs alone; remembered for short ones, since frames recur."""
         found = self.texts.get(t)
         if found is None:
             table, split = self.words, t.split()
             low = _LETTERS.findall(t.lower())
             lw = [x for x in map(table.get, low) if x is not None]
             found = (
-                len(split), len(t), t.endswith(("…", "...")), t[-1:] in _SHUTS, sum(map(len, _DIGITS.findall(t))) / max(len(t), 1), sum([w[0].isupper() for w in split]) / max(len(split), 1),
-                "|" in t, "©" in t, t[-1:] == ")" and bool(_COUNTED.search(t)), sum(lw) / len(lw) if lw else 0.0, min(lw, default=0.0), table.get(("^", *low[:2]), 0.0),
+                sum(map(len, _DIGITS.findall(t))) / max(len(t), 1), sum([w[0].isupper() for w in split]) / max(len(split), 1), "|" in t, "©" in t, t[-1:] == ")" and bool(_COUNTED.search(t)),
+                sum(lw) / len(lw) if lw else 0.0, min(lw, default=0.0), table.get(("^", *low[:2]), 0.0),
             )
             if len(t) < 120:
                 if len(self.texts) > 200_000:
@@ -176,7 +176,7 @@ class ArticleModel:
             out = above[min(2, len(above) - 1)]
             lo, hi = max(v.first[out] - 1, 0), min(v.end[out] + 1, len(units))
             u0 = len(unit) - lo
-            unit.extend([(*text(u.text), min(u.linked, len(u.text)), u.linked / max(len(u.text), 1), u.in_head, len(u.pieces)) for u in units[lo:hi]])
+            unit.extend([(len(u.text.split()), len(u.text), u.linked, u.text[-1:] == "…" or u.text[-3:] == "...", u.text[-1:] in _SHUTS) for u in units[lo:hi]])
             chain, k = {}, units[v.headline].node if v.headline >= 0 else -1
             while k >= 0:
                 chain[k] = len(chain)
@@ -204,7 +204,7 @@ class ArticleModel:
                 before, after = units[i - 1].node if i else -1, units[i + 1].node if i + 1 < len(units) else -1
                 node.append((
                     d.depth, flags[k], meets[k], v.first[k], v.end[k], v.first[up], v.end[up], v.first[over], v.end[over], o[0] / max(o[1], 1), o[2], o[3], (w[0] + z[0]) / max(w[1] + z[1], 1), _TAG_NO.get(d.tag, -1),
-                    k == v.container, up == v.container, before >= 0 and nodes[before].tag[:1] == "h", after == k, before == k,
+                    k == v.container, up == v.container, before >= 0 and nodes[before].tag[:1] == "h", after == k, before == k, units[i].in_head, len(units[i].pieces), *text(units[i].text),
                 ))
             pick.extend([u0 + i for i in want])
             of_page.extend([len(page)] * len(want))
@@ -214,7 +214,9 @@ class ArticleModel:
         u, w, p = np.array(unit, float), np.array(node, float), np.array(page, np.int64)
         at, of = np.array(pick), np.array(of_page)
         begin, count, closed, headline = p[of].T
-        sums = _accumulated(u[:, [0, 1, 12, 2, 3]])  # words, characters, linked, dots, shut
+        link = u[:, 2] / np.maximum(u[:, 1], 1)
+        u[:, 2] = np.minimum(u[:, 2], u[:, 1])
+        sums = _accumulated(u)  # words, characters, linked, dots, shut
         here = u[at]
 
         def stats(c: int) -> list[np.ndarray]:
@@ -226,14 +228,15 @@ class ArticleModel:
         local = at - begin
         dist = np.where(headline >= 0, np.clip(local - headline, -20, 40), -30)
         start, end = local == 0, local == count - 1
-        prev, nxt = u[np.where(start, at, at - 1)], u[np.where(end, at, at + 1)]
+        to, on = np.where(start, at, at - 1), np.where(end, at, at + 1)
+        prev, nxt = u[to], u[on]
         bits = w[:, 1].astype(int)
         columns = [
-            here[:, 0], here[:, 1], here[:, 13], here[:, 2], here[:, 3], here[:, 4], here[:, 5], here[:, 6], here[:, 7], here[:, 8], here[:, 14], here[:, 15],
+            here[:, 0], here[:, 1], link[at], here[:, 3], here[:, 4], *w[:, 21:26].T, w[:, 19], w[:, 20],
             w[:, 0], local / count, count, local == headline, dist, w[:, 2], w[:, 14], w[:, 15], end & (closed == 0), closed,
             *stats(3), *stats(5), *stats(7), *((w[:, 13] == i) for i in range(len(_TAGS))), *((bits & f) > 0 for f in _FLAG.values()),
-            w[:, 9], w[:, 10], w[:, 11], w[:, 12], here[:, 9], here[:, 10], here[:, 11],
-            np.where(start, 0, prev[:, 0]), np.where(end, 0, nxt[:, 0]), np.where(start, 0, prev[:, 13]), np.where(end, 0, nxt[:, 13]), np.where(start, 0, prev[:, 2]), np.where(end, 0, nxt[:, 2]), w[:, 16], w[:, 17], w[:, 18],
+            w[:, 9], w[:, 10], w[:, 11], w[:, 12], *w[:, 26:29].T,
+            np.where(start, 0, prev[:, 0]), np.where(end, 0, nxt[:, 0]), np.where(start, 0, link[to]), np.where(end, 0, link[on]), np.where(start, 0, prev[:, 3]), np.where(end, 0, nxt[:, 3]), w[:, 16], w[:, 17], w[:, 18],
         ]
         return np.column_stack(columns).astype(float)
 

@@ -129,7 +129,7 @@ def parse(text: str) -> Page:
             elif new_atom and kind == "text" and last_kind == "inline" and open_unit.atoms == 1 and len(open_unit.text.split()) >= 3 and t[:1].isupper():
                 fresh = True
         if fresh:
-            open_unit = Unit(block)
+            open_unit = Unit(block, [], "", 0, False, 0, [])
             units.append(open_unit)
         if fresh or top != atom_of:
             open_unit.atoms += 1
