@@ -361,7 +361,7 @@ def weak_labels(v: View, frame: set[str]) -> list[int]:
 
 
 def _boost(x: np.ndarray, y: np.ndarray, trees: int, depth: int, rate: float, bins: int = 48, l2: float = 1.0, least: int = 20):
-    """Trees of logistic loss by histograms; each tree is complete with ``split < 0`` where it ends."""
+    """Trees of logistic loss by histograms, the larger child's being its parent's less the smaller one's; each tree is complete with ``split < 0`` where it ends."""
     n, f = x.shape
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(f)]
     code = np.stack([np.searchsorted(e, x[:, j]) for j, e in enumerate(edges)], 1)
@@ -374,18 +374,20 @@ def _boost(x: np.ndarray, y: np.ndarray, trees: int, depth: int, rate: float, bi
         p = 1 / (1 + np.exp(-z))
         g, h = y - p, p * (1 - p)
         split, cut, leaf, at = np.full(size, -1), np.zeros(size), np.zeros(size), np.zeros(n, int)
-        live = {0: np.arange(n)}
+
+        def histogram(rows: np.ndarray) -> np.ndarray:
+            hit = flat[rows].ravel()
+            return np.stack([np.bincount(hit, np.repeat(g[rows], f), f * bins), np.bincount(hit, np.repeat(h[rows], f), f * bins), np.bincount(hit, minlength=f * bins)]).reshape(3, f, bins)
+
+        live = {0: (np.arange(n), histogram(np.arange(n)))}
         for level in range(depth + 1):
             nxt = {}
-            for node, rows in live.items():
+            for node, (rows, sums) in live.items():
                 sg, sh = g[rows].sum(), h[rows].sum()
                 leaf[node] = rate * sg / (sh + l2)
                 if level == depth or len(rows) < 2 * least:
                     continue
-                hit = flat[rows].ravel()
-                hg = np.bincount(hit, np.repeat(g[rows], f), f * bins).reshape(f, bins).cumsum(1)
-                hh = np.bincount(hit, np.repeat(h[rows], f), f * bins).reshape(f, bins).cumsum(1)
-                hc = np.bincount(hit, minlength=f * bins).reshape(f, bins).cumsum(1)
+                hg, hh, hc = sums.cumsum(2)
                 gain = hg**2 / (hh + l2) + (sg - hg) ** 2 / (sh - hh + l2) - sg**2 / (sh + l2)
                 gain[(hc < least) | (len(rows) - hc < least)] = -1
                 j, b = np.unravel_index(gain.argmax(), gain.shape)
@@ -393,9 +395,15 @@ def _boost(x: np.ndarray, y: np.ndarray, trees: int, depth: int, rate: float, bi
                     continue
                 split[node], cut[node], leaf[node] = j, edges[j][b], 0
                 right = code[rows, j] > b
-                nxt[2 * node + 1], nxt[2 * node + 2] = rows[~right], rows[right]
-            live_now = {**live}
-            for node, rows in live_now.items():
+                sides = [rows[~right], rows[right]]
+                if level + 1 < depth:
+                    few = int(len(sides[1]) < len(sides[0]))
+                    small = histogram(sides[few])
+                    both = [sums - small, small] if few else [small, sums - small]
+                else:
+                    both = [None, None]
+                nxt[2 * node + 1], nxt[2 * node + 2] = zip(sides, both)
+            for node, (rows, _) in live.items():
                 if split[node] < 0:
                     at[rows] = node
             live = nxt
@@ -486,8 +494,8 @@ def fit(texts: list[str], trees: int = 40, depth: int = 4, rate: float = 0.25, f
     return fit_views(_views(good), {k for k, s in on.items() if len(s) >= frame_pages}, trees, depth, rate)
 
 
-def fit_views(views: list[View], often: set[str], trees: int = 40, depth: int = 4, rate: float = 0.25, headline_trees: int = 12) -> ArticleModel:
-    """Fit to sample pages; ``often`` holds their texts that recur."""
+def fit_views(views: list[View], often: set[str], trees: int = 40, depth: int = 4, rate: float = 0.25, headline_trees: int = 12, most_units: int = 20_000) -> ArticleModel:
+    """Fit to sample pages; ``often`` holds their texts that recur.  Headlines are learned from all of theirs and at most about ``most_units`` other units."""
     # the headline and the cells of a table may say what others say
     own = {letters(v.page.units[v.headline].text) for v in views if v.titled}
     frame = _frame(views, often - own)
@@ -509,7 +517,8 @@ def fit_views(views: list[View], often: set[str], trees: int = 40, depth: int =
         return model
     # where headlines stand and what they look like, as if no title had told
     blind = [View(v.page, -1, -1, v.first, v.end, False) for v in titled]
-    wanted = [[i for i, u in enumerate(v.page.units) if u.pieces and not u.in_head] for v in blind]
+    every = max(1, -(-sum(len(v.page.units) for v in blind) // most_units))
+    wanted = [[i for i, u in enumerate(v.page.units) if u.pieces and not u.in_head and (i == t.headline or (i + n) % every == 0)] for n, (v, t) in enumerate(zip(blind, titled))]
     y = np.array([float(i == v.headline) for v, want in zip(titled, wanted) for i in want])
     model.headlines = Trees(*_boost(model.features(blind, wanted), y, headline_trees, depth, rate))
     model.choose_headlines(views)
