@@ -132,10 +132,3 @@ def waits(tries: int, base: float, exponential: bool = True) -> list[float]:
     """Seconds to wait after each failed try: ``base * 2^k``, or ``base * k`` from 1."""
     return [base * 2**k if exponential else base * (k + 1) for k in range(tries)]
 
-
-def size_text(n: float) -> str:
-    """Bytes for people."""
-    for unit, size in (("GB", 1 << 30), ("MB", 1 << 20), ("KB", 1 << 10)):
-        if n >= size:
-            return f"{n / size:.1f} {unit}"
-    return f"{int(n)} B"

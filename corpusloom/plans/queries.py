@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import display as V
 from ..functions import hashing as H
 from ..functions import markup as M
 from ..functions import text as T
@@ -315,6 +316,13 @@ def report_tops(spark, d):
     return Q.report_lines(_t(spark, d, "run_reports"), "reject_reasons")
 
 
+def run_ages(spark, d):
+    """How long ago each run began, at one fixed time, and what it wrote, for people."""
+    now = F.lit("2026-01-01 00:00:00").cast("timestamp")
+    r = _t(spark, d, "run_reports").select("run_id", "started_at", "bytes_written").distinct()
+    return r.select("run_id", V.age_text(F.col("started_at"), now).alias("age"), V.bytes_text(F.col("bytes_written")).alias("written"))
+
+
 def first_of_prompts(spark, d):
     """The first field of an example that holds text, response before prompt, and the estimate of both."""
     e = _t(spark, d, "instruction_examples").where(F.col("id").isNotNull())
@@ -558,7 +566,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         filter_reasons, filter_reasons_books, text_measures, ngram_repetition, keep_decision, keep_decision_targeted, normalized_text, collapsed_text, frame_lines_removed, shingle_counts, index_language_scan,
         identified_languages, retried_sections, run_reports_built, import_reports, harvest_stats, yield_gate, labelled_scores, top_labels, identifier_gate, tokenizer_report, dataset_meta, near_duplicate_stats, discovered_classes,
-        report_tops, first_of_prompts, instruction_languages, portal_paths, wiki_addresses, mixed_splits, mixed_by_records, global_dedup_report, fuzzy_checks, parallel_dedup,
+        report_tops, run_ages, first_of_prompts, instruction_languages, portal_paths, wiki_addresses, mixed_splits, mixed_by_records, global_dedup_report, fuzzy_checks, parallel_dedup,
         instruction_reasons, pair_reasons, example_ids, url_parts, url_safety, capture_urls, page_links, language_pairs, language_sections, warc_outcomes, exact_dedup, exact_dedup_across_runs, fuzzy_dedup, combined_dedup, pair_dedup, capped_sides, pending_ids,
         newest_meta, latest_captures, shard_documents, run_stats, domain_yield, reject_reasons, lid_histogram, length_histogram, top_domains, combined_reports, combined_reasons, combined_histogram,
         combined_domains, dataset_index, dataset_stats, token_ratio_percentiles, threshold_yields, keep_precision, task_counts, enriched_documents, splits, majority_types, mixed_selection, packed_sequences,

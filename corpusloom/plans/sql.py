@@ -344,6 +344,10 @@ def oracle_sql() -> dict[str, str]:
         "discovered_classes": f"SELECT {_portal_kind()} AS url_class, count(*) AS n FROM (SELECT DISTINCT url FROM extracted_docs WHERE url IS NOT NULL) GROUP BY 1",
         "report_tops": """
             SELECT run_id, key, n FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY n DESC, key) AS i FROM (SELECT run_id, key, max(n) AS n FROM (SELECT run_id, unnest(map_keys(reject_reasons)) AS key, unnest(map_values(reject_reasons)) AS n FROM run_reports) GROUP BY ALL)) WHERE i <= 10""",
+        "run_ages": """
+            WITH r AS (SELECT DISTINCT run_id, started_at, bytes_written AS b, epoch(TIMESTAMPTZ '2026-01-01 00:00:00+00') - epoch(try_cast(started_at AS TIMESTAMPTZ)) AS s FROM run_reports)
+            SELECT run_id, CASE WHEN coalesce(started_at, '') = '' THEN '—' WHEN s IS NULL THEN started_at WHEN s < 3600 THEN trunc(s / 60)::BIGINT || 'm ago' WHEN s < 86400 THEN printf('%.1f', round_even(s / 3600, 1)) || 'h ago' ELSE floor(s / 86400)::BIGINT || 'd ago' END AS age,
+              CASE WHEN b < 1024 THEN b || ' B' WHEN b < 1048576 THEN printf('%.1f', round_even(b / 1024::DOUBLE, 1)) || ' KB' ELSE printf('%.1f', round_even(b / 1048576::DOUBLE, 1)) || ' MB' END AS written FROM r""",
         "first_of_prompts": f"""
             SELECT DISTINCT id, sha256(CASE WHEN {strip("coalesce(response, '')")} <> '' THEN response WHEN {strip("coalesce(prompt, '')")} <> '' THEN prompt ELSE '' END) AS "first", floor((coalesce(length(response), 0) + coalesce(length(prompt), 0)) / 2.55::DOUBLE)::BIGINT AS tokens
             FROM instruction_examples WHERE id IS NOT NULL""",

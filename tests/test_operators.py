@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.functions import display as V
 from corpusloom.functions import markup as M
 from corpusloom.functions import text as T
 from corpusloom.functions import urls as U
@@ -119,7 +120,7 @@ def test_config():
     assert g.reached() == "guardrail.max_runtime_s: 11 >= 10"
     g.add(items=1)
     assert g.reached() == "guardrail.max_items: 3 >= 3"
-    assert C.waits(3, 2.0) == [2.0, 4.0, 8.0] and C.waits(2, 2.0, False) == [2.0, 4.0] and C.size_text(1536) == "1.5 KB" and C.size_text(3) == "3 B"
+    assert C.waits(3, 2.0) == [2.0, 4.0, 8.0] and C.waits(2, 2.0, False) == [2.0, 4.0]
 
 
 def test_reports_of_nothing(spark):
@@ -136,3 +137,10 @@ def test_domains_above(spark):
     assert spark.range(1).select(U.parent_domains(F.lit("a.b.c"))).first()[0] == ["a.b.c", "b.c", "c"]
     assert [r[0] for r in spark.createDataFrame([("http://a",), ("ftp://a",), (None,), ("x",)], "u string").select(U.valid_seed(F.col("u"))).collect()] == [True, False, False, False]
     assert spark.range(1).select(T.first_text(F.lit(" "), F.lit(None), F.lit("x"))).first()[0] == "x"
+
+
+def test_figures_for_people(spark):
+    now = F.lit("2024-01-03 12:00:00").cast("timestamp")
+    rows = [("2024-01-03T11:30:30+00:00", 3), ("2024-01-03T09:00:00Z", 1536), ("2024-01-01T00:00:00", 5 << 20), ("", None), (None, 0), ("soon", 1024)]
+    got = [tuple(r) for r in spark.createDataFrame(rows, "t string, n long").select(V.age_text(F.col("t"), now), V.bytes_text(F.col("n"))).collect()]
+    assert got == [("29m ago", "3 B"), ("3.0h ago", "1.5 KB"), ("2d ago", "5.0 MB"), ("—", None), ("—", "0 B"), ("soon", "1.0 KB")]
