@@ -85,7 +85,7 @@ def mix(sized: DataFrame, targets: DataFrame, total: float | None = None, seed:
     goal = targets.where(F.col("source").isNotNull() & (F.col("target_share") > 0)).select(source_label(F.col("source")).alias("source"), "target_share", F.coalesce("max_repeats", F.lit(1)).alias("max_repeats")).collect()
     shares = {r.source: r.target_share for r in goal}
     repeats = {r.source: int(r.max_repeats) for r in goal}
-    usable = sized.where((F.col("n_tokens") > 0) & F.col("source").isin(list(shares)))
+    usable = sized.select("doc_id", "source", "lang", "topic", "n_tokens").where((F.col("n_tokens") > 0) & F.col("source").isin(list(shares)))
     cells = usable.groupBy("source", "lang", "topic").agg(F.sum("n_tokens").alias("tokens")).toPandas()
     fitted, _ = rake(cells, shares, repeats, total)
     schema = "source string, lang string, topic string, whole bigint, part double"

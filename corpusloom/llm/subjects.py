@@ -30,6 +30,8 @@ _STOPS = (".", "!", "?", "\n")
 #: Numbers of words within a model: unknown ones, sentence ends; and the hash that stands for a sentence end.
 OTHER, END = 0, 1
 END_HASH = 0
+#: The column that :func:`tokenized` adds; a table that has it is taken as tokenized, so its name is none that a table of documents has.
+WORDS = "_word_hashes"
 #: Most words remembered per worker.
 WORD_CACHE = 2_000_000
 
@@ -59,7 +61,7 @@ def hashed(texts: list, known: _Hashes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def tokenized(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-    """``keep`` columns and ``words``: the hashes of each text's words in order, 0 where a sentence ends; empty for a null text.
+    """``keep`` columns and :data:`WORDS`: the hashes of each text's words in order, 0 where a sentence ends; empty for a null text.
 
     Whole texts are read.  Stage the result where several passes use it.
     """
@@ -76,20 +78,20 @@ def tokenized(docs: DataFrame, keep: list[str], text_col: str = "text") -> DataF
                 flat, lens = hashed(part, known)
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lens)], pa.int32()), pa.array(flat))
                 rest = b.slice(at, len(part))
-                yield pa.RecordBatch.from_arrays([*(rest.column(c) for c in keep), lists], names=[*keep, "words"])
+                yield pa.RecordBatch.from_arrays([*(rest.column(c) for c in keep), lists], names=[*keep, WORDS])
                 at += len(part)
 
-    return cols.mapInArrow(run, f"{ddl}{', ' if keep else ''}words array<bigint>")
+    return cols.mapInArrow(run, f"{ddl}{', ' if keep else ''}{WORDS} array<bigint>")
 
 
 def _words_of(docs: DataFrame) -> DataFrame:
-    """The column ``words`` of tokenized documents, or of documents with a text."""
-    return docs.select("words") if "words" in docs.columns else tokenized(docs, [])
+    """The column :data:`WORDS` of tokenized documents, or of documents with a text."""
+    return docs.select(WORDS) if WORDS in docs.columns else tokenized(docs, [])
 
 
 def _parts(batch: pa.RecordBatch, most: int = 20_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``(first row, hashes, lengths)`` of runs of rows of about ``most`` words, from the column ``words``."""
-    lists = batch.column("words")
+    """``(first row, hashes, lengths)`` of runs of rows of about ``most`` words, from the column :data:`WORDS`."""
+    lists = batch.column(WORDS)
     flat, offsets = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
     lens = np.diff(offsets) * ~lists.is_null().to_numpy(zero_copy_only=False)
     ends = np.cumsum(lens)
@@ -292,7 +294,7 @@ def _refine(docs: DataFrame, model: SubjectModel) -> np.ndarray:
 def fit(
     docs: DataFrame, reference: DataFrame, iterations: int = 4, refinements: int = 4, settled: float = 0.01, enough: float = 0.99, min_df: int = 5, min_share: float = 1e-6, most_terms: int = 2_000_000, min_word_cosine: float = 0.75, min_cosine: float = 0.6
 ) -> SubjectModel:
-    """Fit to all ``docs`` (``text``, or ``words`` from :func:`tokenized`) and the labelled ``reference`` (``subject, lang, text``; a small table of fixed size, read whole).
+    """Fit to all ``docs`` (with ``text``, or from :func:`tokenized`) and the labelled ``reference`` (``subject, lang, text``; a small table of fixed size, read whole).
 
     The decomposition takes up to ``iterations`` passes.  After each, centroids of every other reference text tell the subjects of the rest: passes end when
     ``enough`` of them are told right, when the subspace turns by less than ``settled`` (one less the mean squared cosine between the old and the new one), or
@@ -355,7 +357,7 @@ def fit(
 def _shares(docs: DataFrame, model: SubjectModel, id_col: str, rows_of, ddl: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.where(F.col(id_col).isNotNull())
-    rows = rows.select(F.col(id_col).alias("id"), "words") if "words" in docs.columns else tokenized(rows.select(F.col(id_col).alias("id"), "text"), ["id"])
+    rows = rows.select(F.col(id_col).alias("id"), WORDS) if WORDS in docs.columns else tokenized(rows.select(F.col(id_col).alias("id"), "text"), ["id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -369,7 +371,7 @@ def _shares(docs: DataFrame, model: SubjectModel, id_col: str, rows_of, ddl: str
 def document_subjects(docs: DataFrame, model: SubjectModel, id_col: str = "doc_id", min_share: float = 0.25) -> DataFrame:
     """``<id_col>, subject, share``: subjects of at least ``min_share`` of a document's sentences, one row each.
 
-    ``docs`` has ``text``, or ``words`` from :func:`tokenized`.  Null ids have no rows; null, empty and wordless texts have no subject; a row delivered
+    ``docs`` has ``text``, or comes from :func:`tokenized`.  Null ids have no rows; null, empty and wordless texts have no subject; a row delivered
     again gives its rows once; a very long text is used whole.
     """
 

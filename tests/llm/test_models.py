@@ -147,9 +147,11 @@ def test_subjects(spark):
     assert {i for i, _ in got} == {3, 5} and {s for i, s in got if i == 3} == {s for i, s in got if i == 5}
     assert subjects.document_subjects(rows.limit(0), model).count() == 0
     # the same from words that were hashed before
-    words = subjects.tokenized(rows.withColumn("words", F.lit("x")), ["doc_id"])
+    words = subjects.tokenized(rows, ["doc_id"])
     assert {(r.doc_id, r.subject) for r in subjects.document_subjects(words, model).collect()} == got
-    topic = {r.doc_id: r.topic for r in subjects.main_subject(rows, model).collect()}
+    clash = rows.withColumns({c: F.lit("x") for c in ("words", "subject", "share", "id", "topic")})
+    assert {(r.doc_id, r.subject) for r in subjects.document_subjects(clash, model).collect()} == got and subjects.document_frequencies(clash).count() > 1
+    topic = {r.doc_id: r.topic for r in subjects.main_subject(clash, model).collect()}
     assert topic[1] == topic[2] == topic[4] == "none" and (3, topic[3]) in got and set(topic) == {1, 2, 3, 4, 5}
     none = subjects.fit(rows, ref.limit(0))
     assert none.subjects == [] and subjects.document_subjects(rows, none).count() == 0 and {r.topic for r in subjects.main_subject(rows, none).collect()} == {"none"}
