@@ -94,16 +94,16 @@ def dataset_stats(index: DataFrame) -> DataFrame:
 
 
 def percentiles(df: DataFrame, value: Column, *group: str) -> DataFrame:
-    """Count, mean and the values at the index positions n/20, n/4, n/2, 3n/4, 19n/20 of the sorted values (no interpolation)."""
+    """Count, mean and the values at the index positions n/20, n/4, n/2, 3n/4, 19n/20 of the sorted values (no interpolation), all in four digits."""
     from .dedup import ranked
 
     # positions come from ranks, so no group's values are collected into one row or task
     r = ranked(df.where(value.isNotNull()).select(*group, value.alias("v")), list(group), F.col("v")).withColumnsRenamed({"rank": "i", "size": "n"})
-    at = lambda q: F.max(F.when(F.col("i") == q, F.col("v")))
+    at = lambda q: half_even(F.max(F.when(F.col("i") == q, F.col("v"))), 4)
     n = F.col("n")
     return r.groupBy(*group).agg(
-        F.count("*").alias("n"), F.min("v").alias("min"), at(F.floor(n * 5 / 100)).alias("p5"), at(F.floor(n / 4)).alias("p25"), at(F.floor(n / 2)).alias("median"),
-        at(F.floor(n * 3 / 4)).alias("p75"), at(F.floor(n * 95 / 100)).alias("p95"), F.max("v").alias("max"), half_even(F.avg("v"), 4).alias("mean"),
+        F.count("*").alias("n"), half_even(F.min("v"), 4).alias("min"), at(F.floor(n * 5 / 100)).alias("p5"), at(F.floor(n / 4)).alias("p25"), at(F.floor(n / 2)).alias("median"),
+        at(F.floor(n * 3 / 4)).alias("p75"), at(F.floor(n * 95 / 100)).alias("p95"), half_even(F.max("v"), 4).alias("max"), half_even(F.avg("v"), 4).alias("mean"),
     )
 
 

@@ -211,17 +211,21 @@ def pair_dedup(df: DataFrame, left: Column, right: Column, *order: Column) -> Da
     return first_wins(df.withColumn("pair_hash", H.joined_hash(left, right)), F.col("pair_hash"), *order)
 
 
-def capped_sides(df: DataFrame, left: str, right: str, order_col: str, most: int = 5) -> DataFrame:
+def capped_sides(df: DataFrame, left: str, right: str, order_col: str, most: int = 5, most_rounds: int = 200) -> DataFrame:
     """Adds ``accepted``: new pairs in order, each side at most ``most`` times among accepted ones.
 
     Whether a pair is accepted depends on those accepted before it that share a side with it.  In rounds: a pair is accepted once it is among as many
     first undecided pairs of each of its sides as that side has places left, and dropped once one of them has none.  Ranks above ``most`` decide
     nothing, so Catalyst cuts each side to its first rows before the shuffle and a side in a third of all pairs isn't gathered in one task.
+    Rounds grow with the longest chain of pairs that wait for each other; more than ``most_rounds`` raise an error.
     """
     rows = df.withColumn("_l", F.xxhash64(left)).withColumn("_r", F.xxhash64(right))
     todo = stage(keep_first(rows.select("_l", "_r", F.col(order_col).alias("_o")), [F.col("_l"), F.col("_r")], F.col("_o")), "sides")
-    accepted = None
+    accepted, rounds = None, 0
     while todo.limit(1).count():
+        rounds += 1
+        if rounds > most_rounds:
+            raise RuntimeError(f"more than {most_rounds} rounds; raise most_rounds")
         sure = todo
         used = {}
         for side in ("_l", "_r"):

@@ -272,7 +272,7 @@ def yield_gate(spark, d):
 def labelled_scores(spark, d):
     """Distribution of the scores of records labelled with the language."""
     w = _t(spark, d, "wet_records").where(F.col("lang").isin("kin_Latn", "rw"))
-    return A.percentiles(w, F.round("lid_score", 4)).drop("p5", "p95")
+    return A.percentiles(w, F.col("lid_score")).drop("p5", "p95")
 
 
 def top_labels(spark, d):
@@ -488,7 +488,7 @@ def prompts_of_templates(spark, d):
     r = _t(spark, d, "subject_reference")
     templates = r.select("lang").distinct().select(F.concat(F.lit("["), "lang", F.lit("] {topic}?")).alias("template"))
     topics = r.select("subject").distinct()
-    return templates.crossJoin(F.broadcast(topics)).select(F.replace("template", F.lit("{topic}"), F.col("subject")).alias("prompt"), "subject")
+    return templates.crossJoin(topics).select(F.replace("template", F.lit("{topic}"), F.col("subject")).alias("prompt"), "subject")
 
 
 def dedup_report(spark, d):

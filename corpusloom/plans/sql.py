@@ -264,7 +264,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT CASE WHEN grouping(source, run_id) = 3 THEN 'all' WHEN grouping(source, run_id) = 1 THEN 'source' ELSE 'run' END AS level, source, run_id, count(*) AS shards, sum(bytes)::BIGINT AS bytes, sum(records_count)::BIGINT AS records, sum(token_estimate)::BIGINT AS tokens
             FROM ({INDEX}) WHERE source IN {_PRETRAIN} GROUP BY GROUPING SETS ((), (source), (run_id))""",
         "token_ratio_percentiles": """
-            SELECT content_type, n, s[1] AS min, s[n * 5 // 100 + 1] AS p5, s[n // 4 + 1] AS p25, s[n // 2 + 1] AS median, s[n * 3 // 4 + 1] AS p75, s[n * 95 // 100 + 1] AS p95, s[n] AS max, round_even(list_avg(s), 4) AS mean
+            SELECT content_type, n, round_even(s[1], 4) AS min, round_even(s[n * 5 // 100 + 1], 4) AS p5, round_even(s[n // 4 + 1], 4) AS p25, round_even(s[n // 2 + 1], 4) AS median, round_even(s[n * 3 // 4 + 1], 4) AS p75, round_even(s[n * 95 // 100 + 1], 4) AS p95, round_even(s[n], 4) AS max, round_even(list_avg(s), 4) AS mean
             FROM (SELECT content_type, count(*) AS n, list_sort(list(char_count / token_count::DOUBLE)) AS s FROM enriched_meta WHERE token_count > 0 AND content_type IS NOT NULL AND char_count IS NOT NULL GROUP BY 1)""",
         "threshold_yields": "SELECT t.threshold::DOUBLE AS threshold, count(*) AS docs, count(*) FILTER (lang IN ('kin_Latn', 'rw') AND lid_score >= t.threshold) AS kept, round_even(count(*) FILTER (lang IN ('kin_Latn', 'rw') AND lid_score >= t.threshold) / count(*)::DOUBLE, 6) AS yield FROM wet_records, (VALUES (0.5), (0.65), (0.8)) t(threshold) GROUP BY 1",
         "keep_precision": f"SELECT *, round_even(coalesce(tp / nullif(tp + fp, 0)::DOUBLE, 0), 4) AS precision, round_even(coalesce(tp / nullif(tp + fn, 0)::DOUBLE, 0), 4) AS recall, round_even(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0)::DOUBLE, 0), 4) AS f1 FROM (SELECT count(*) FILTER (keep2 AND keep) AS tp, count(*) FILTER (keep2 AND NOT coalesce(keep, false)) AS fp, count(*) FILTER (NOT keep2 AND keep) AS fn, count(*) FILTER (NOT keep2 AND NOT coalesce(keep, false)) AS tn FROM ({decided()}))",
@@ -326,8 +326,8 @@ def oracle_sql() -> dict[str, str]:
             t AS (SELECT *, unnest([0.5, 0.65, 0.8]::DOUBLE[]) AS threshold, unnest([a, b, c]) AS kept, CASE WHEN b > 3 * c THEN 'THRESHOLD_TOO_STRICT' WHEN l < 50 THEN 'REAL_SCARCITY' ELSE 'MODERATE_SCARCITY' END AS decision FROM n)
             SELECT threshold, docs_seen, kept, round_even(kept / docs_seen::DOUBLE, 8) AS keep_rate, decision FROM t""",
         "labelled_scores": """
-            SELECT n, s[1] AS min, s[n // 4 + 1] AS p25, s[n // 2 + 1] AS median, s[n * 3 // 4 + 1] AS p75, s[n] AS max, round_even(list_avg(s), 4) AS mean
-            FROM (SELECT count(*) AS n, list_sort(list(round(lid_score, 4))) AS s FROM wet_records WHERE lang IN ('kin_Latn', 'rw') AND lid_score IS NOT NULL)""",
+            SELECT n, round_even(s[1], 4) AS min, round_even(s[n // 4 + 1], 4) AS p25, round_even(s[n // 2 + 1], 4) AS median, round_even(s[n * 3 // 4 + 1], 4) AS p75, round_even(s[n], 4) AS max, round_even(list_avg(s), 4) AS mean
+            FROM (SELECT count(*) AS n, list_sort(list(lid_score)) AS s FROM wet_records WHERE lang IN ('kin_Latn', 'rw') AND lid_score IS NOT NULL)""",
         "top_labels": "SELECT lang, count(*) AS n FROM wet_records WHERE lang IS NOT NULL GROUP BY 1 ORDER BY n DESC, lang LIMIT 20",
         "tokenizer_report": """
             WITH t AS (SELECT source, doc_id, CASE WHEN unicode(c) > 383 THEN 0 ELSE unicode(c) END AS id FROM (SELECT source, doc_id, unnest(string_split(text, '')) AS c FROM documents WHERE length(text) >= 50)),

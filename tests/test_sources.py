@@ -2,6 +2,9 @@ import gzip
 import json
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from corpusloom.sources import discovery as S_
 from corpusloom.sources import readers as R
 from corpusloom.sources import writers as W
@@ -110,3 +113,31 @@ def test_stream(spark, tmp_path):
         df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         S.ingest(spark, str(tmp_path / "in"), df.schema, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert [r.doc_id for r in spark.read.parquet(str(tmp_path / "out/kept")).collect()] == ["a"]
+
+
+def test_stream_stops_at_a_limit_and_goes_on(spark, tmp_path):
+    from pyspark.errors import StreamingQueryException
+
+    from corpusloom.operators.config import Guardrails, Limits
+
+    good = " ".join(f"ijambo{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(120))
+    df = spark.createDataFrame([(f"d{i}", f"{good} {'x' * (i + 1)}", "rw", 0.99) for i in range(4)], "doc_id string, text string, lang string, lid_score double")
+    df.repartition(4, "doc_id").write.option("maxRecordsPerFile", 1).parquet(str(tmp_path / "in"))
+    run = lambda limits: S.ingest(spark, str(tmp_path / "in"), df.schema, str(tmp_path / "out"), str(tmp_path / "cp"), files_per_batch=1, limits=limits).awaitTermination()
+    with pytest.raises(StreamingQueryException, match="guardrail.max_items: 2 >= 2"):
+        run(Guardrails(Limits(max_items=2)))
+    kept = lambda: sorted(r.doc_id for r in S.read_kept(spark, str(tmp_path / "out"), df.schema).collect())
+    assert len(kept()) == 2
+    run(None)
+    assert kept() == ["d0", "d1", "d2", "d3"]
+
+
+def test_windows_of_a_stream(spark, tmp_path):
+    """What a stream has closed is what a table gives."""
+    rows = [(f"2024-01-01 {h:02}:{m:02}:00", k, 1.0) for h in range(6) for m in (5, 50) for k in "ab"]
+    df = spark.createDataFrame(rows, "ts string, event_type string, value double").withColumn("ts", F.col("ts").cast("timestamp"))
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    S.event_counts(stream).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    closed = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert closed and closed <= {tuple(r) for r in S.event_counts(df).collect()}
