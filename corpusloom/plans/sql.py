@@ -348,6 +348,22 @@ def oracle_sql() -> dict[str, str]:
             WITH r AS (SELECT DISTINCT run_id, started_at, bytes_written AS b, epoch(TIMESTAMPTZ '2026-01-01 00:00:00+00') - epoch(try_cast(started_at AS TIMESTAMPTZ)) AS s FROM run_reports)
             SELECT run_id, CASE WHEN coalesce(started_at, '') = '' THEN '—' WHEN s IS NULL THEN started_at WHEN s < 3600 THEN trunc(s / 60)::BIGINT || 'm ago' WHEN s < 86400 THEN printf('%.1f', round_even(s / 3600, 1)) || 'h ago' ELSE floor(s / 86400)::BIGINT || 'd ago' END AS age,
               CASE WHEN b < 1024 THEN b || ' B' WHEN b < 1048576 THEN printf('%.1f', round_even(b / 1024::DOUBLE, 1)) || ' KB' ELSE printf('%.1f', round_even(b / 1048576::DOUBLE, 1)) || ' MB' END AS written FROM r""",
+        "capped_sides": """
+            WITH RECURSIVE e AS (SELECT *, row_number() OVER (PARTITION BY prompt, response ORDER BY id) > 1 AS again, row_number() OVER (ORDER BY id) AS n FROM (
+              SELECT *, row_number() OVER (PARTITION BY id ORDER BY prompt, response) AS i FROM instruction_examples WHERE prompt IS NOT NULL AND response IS NOT NULL) WHERE i = 1),
+            r AS (SELECT 0::BIGINT AS n, NULL::VARCHAR AS id, false AS accepted, MAP {}::MAP(VARCHAR, INT) AS p, MAP {}::MAP(VARCHAR, INT) AS q
+              UNION ALL SELECT n, id, ok, CASE WHEN ok THEN map_concat(p, MAP {prompt: a + 1}) ELSE p END, CASE WHEN ok THEN map_concat(q, MAP {response: b + 1}) ELSE q END
+              FROM (SELECT e.n, e.id, e.prompt, e.response, r.p, r.q, coalesce(r.p[e.prompt], 0) AS a, coalesce(r.q[e.response], 0) AS b, NOT e.again AND coalesce(r.p[e.prompt], 0) < 2 AND coalesce(r.q[e.response], 0) < 2 AS ok FROM r JOIN e ON e.n = r.n + 1))
+            SELECT id, accepted FROM r WHERE n > 0""",
+        "language_sections": f"""
+            WITH par AS (SELECT doc_id, list_filter([{strip('x')} for x in regexp_split_to_array(text, '\\n\\s*\\n')], lambda x: x <> '') AS p FROM documents WHERE doc_id IS NOT NULL),
+            red AS (SELECT doc_id, list_reduce([{{'done': []::VARCHAR[], 'now': x, 'held': length(x)}} for x in p], lambda a, x: CASE WHEN a.held + x.held >= 2000
+                THEN {{'done': list_append(a.done, CASE WHEN a.now = '' THEN x.now ELSE a.now || chr(10) || chr(10) || x.now END), 'now': '', 'held': 0::BIGINT}}
+                ELSE {{'done': a.done, 'now': CASE WHEN a.now = '' THEN x.now ELSE a.now || chr(10) || chr(10) || x.now END, 'held': a.held + x.held}} END, {{'done': []::VARCHAR[], 'now': '', 'held': 0::BIGINT}}) AS r FROM par WHERE len(p) > 0),
+            blk AS (SELECT doc_id, list_filter(list_append(r.done, r.now), lambda b: length(b) >= 50) AS b FROM red), each AS (SELECT doc_id, unnest(b) AS text, unnest(range(len(b))) AS pos FROM blk),
+            {_words_model("SELECT doc_id || '/' || pos AS rid, text FROM each", 'rid')},
+            kept AS (SELECT doc_id, sum(length(text)) AS n, count(*) AS c FROM each JOIN said ON said.rid = doc_id || '/' || pos WHERE lang = 'kin_Latn' AND score >= 0.8 GROUP BY 1)
+            SELECT o.doc_id, CASE WHEN n >= 200 THEN (n + 2 * (c - 1))::BIGINT END AS chars FROM documents o LEFT JOIN kept USING (doc_id) WHERE o.doc_id IS NOT NULL""",
         "first_of_prompts": f"""
             SELECT DISTINCT id, sha256(CASE WHEN {strip("coalesce(response, '')")} <> '' THEN response WHEN {strip("coalesce(prompt, '')")} <> '' THEN prompt ELSE '' END) AS "first", floor((coalesce(length(response), 0) + coalesce(length(prompt), 0)) / 2.55::DOUBLE)::BIGINT AS tokens
             FROM instruction_examples WHERE id IS NOT NULL""",
